@@ -69,6 +69,24 @@ def dimension(
     )
 
 
+class Dimensions:
+    """Lookup sides over a set of tables, each prepared once however many tables use it."""
+
+    def __init__(
+        self, tables: Mapping[str, DataFrame], exact_casefold: bool = False, limits: Limits = Limits()
+    ) -> None:
+        self._tables = tables
+        self.exact_casefold = exact_casefold
+        self.limits = limits
+        self._sides: dict[tuple[str, str, str], Dimension] = {}
+
+    def side(self, lookup: Lookup) -> Dimension:
+        key = (lookup.table, lookup.label, lookup.id_column)
+        if key not in self._sides:
+            self._sides[key] = dimension(self._tables, lookup, self.exact_casefold, self.limits)
+        return self._sides[key]
+
+
 def _fail_if_ambiguous(lookup: Lookup, dim: Dimension) -> None:
     if dim.clean:
         return
@@ -82,12 +100,7 @@ def unmatched(lookup: Lookup) -> Column:
 
 
 def with_keys(
-    df: DataFrame,
-    lookups: Sequence[Lookup],
-    tables: Mapping[str, DataFrame],
-    strict: bool = False,
-    exact_casefold: bool = False,
-    limits: Limits = Limits(),
+    df: DataFrame, lookups: Sequence[Lookup], dimensions: Dimensions, strict: bool = False
 ) -> tuple[DataFrame, list[Lookup]]:
     """Attach all ids, keeping each match key as `__key_{column}`.
 
@@ -95,25 +108,25 @@ def with_keys(
     no id (and fail when strict).  Small dimensions are broadcast, so the chain adds no shuffle.
     """
     applied = [lk for lk in lookups if lk.column in df.columns]
-    out = df
-    prepared: dict[tuple[str, str, str], Dimension] = {}
+    out = df.drop(*[lk.target for lk in applied]).withColumns(
+        {
+            f"__key_{lk.column}": match_key(
+                F.col(lk.column).cast("string"), exact_casefold=dimensions.exact_casefold
+            )
+            for lk in applied
+        }
+    )
     for lk in applied:
-        side = (lk.table, lk.label, lk.id_column)
-        if side not in prepared:
-            prepared[side] = dimension(tables, lk, exact_casefold, limits)
-        dim = prepared[side]
+        dim = dimensions.side(lk)
         if strict:
             _fail_if_ambiguous(lk, dim)
-        out = out.drop(lk.target).withColumn(
-            f"__key_{lk.column}", match_key(F.col(lk.column).cast("string"), exact_casefold=exact_casefold)
-        )
         out = attach(
             out,
             dim.keys.withColumnRenamed("__id", lk.target),
             {f"__key_{lk.column}": "__key"},
             take=[lk.target],
             small=dim.small,
-            limits=limits,
+            limits=dimensions.limits,
         )
     return out, applied
 
@@ -164,14 +177,13 @@ def _fail_if_unmatched(keyed: DataFrame, applied: Sequence[Lookup], what: str) -
 def to_ids(
     df: DataFrame,
     lookups: Sequence[Lookup],
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame] | Dimensions,
     strict: bool = False,
-    exact_casefold: bool = False,
-    limits: Limits = Limits(),
     what: str = "",
 ) -> DataFrame:
     """Replace label columns by id columns; strict fails on ambiguous and on unmatched values."""
-    keyed, applied = with_keys(df, lookups, tables, strict, exact_casefold, limits)
+    dimensions = tables if isinstance(tables, Dimensions) else Dimensions(tables)
+    keyed, applied = with_keys(df, lookups, dimensions, strict)
     if strict:
         _fail_if_unmatched(keyed, applied, what)
     return keyed.drop(*[f"__key_{lk.column}" for lk in applied], *[lk.column for lk in applied])
@@ -197,31 +209,30 @@ def lookups_for(
 
 
 def violations(
-    keyed: DataFrame,
-    applied: Sequence[Lookup],
-    tables: Mapping[str, DataFrame],
-    table: str,
-    exact_casefold: bool = False,
+    keyed: DataFrame, applied: Sequence[Lookup], dimensions: Dimensions, table: str
 ) -> DataFrame:
     """Unmatched values and ambiguous labels in the shape shared by all rule checks."""
-    out = None
+    parts = []
     for lk in applied:
-        missing = unmatched_values(keyed, lk).select(
-            F.lit(table).alias("table"),
-            F.lit("unmatched").alias("rule"),
-            F.lit(lk.column).alias("column"),
-            F.col("value").alias("key"),
-            F.col("n").cast("string").alias("value"),
-            F.lit(f"not in {lk.table}.{lk.label}").alias("message"),
-        )
-        repeated = dimension(tables, lk, exact_casefold).ambiguous.select(
-            F.lit(lk.table).alias("table"),
-            F.lit("ambiguous").alias("rule"),
-            F.lit(lk.label).alias("column"),
-            F.col("__key").alias("key"),
-            F.col("n").cast("string").alias("value"),
-            F.lit("label repeats after normalization").alias("message"),
+        missing = unmatched_values(keyed, lk)
+        parts.append(_shaped(missing, table, "unmatched", lk.column, "value", f"not in {lk.table}.{lk.label}"))
+    for lk in {(lk.table, lk.label): lk for lk in applied}.values():
+        repeated = dimensions.side(lk).ambiguous
+        parts.append(
+            _shaped(repeated, lk.table, "ambiguous", lk.label, "__key", "label repeats after normalization")
         )
-        both = missing.unionByName(repeated)
-        out = both if out is None else out.unionByName(both)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
+
+
+def _shaped(df: DataFrame, table: str, rule: str, column: str, key: str, message: str) -> DataFrame:
+    return df.select(
+        F.lit(table).alias("table"),
+        F.lit(rule).alias("rule"),
+        F.lit(column).alias("column"),
+        F.col(key).alias("key"),
+        F.col("n").cast("string").alias("value"),
+        F.lit(message).alias("message"),
+    )

@@ -128,28 +128,25 @@ def _read_file(path: str, content: bytes, exclude: tuple[str, ...], batch: int)
                 yield pd.DataFrame(out, columns=["path", "sheet", "row", "cells"])
 
 
-def read_workbooks(
-    spark: SparkSession, path: str, exclude: Iterable[str] = (), batch: int = 10_000
-) -> DataFrame:
-    """(path, sheet, row, cells) of all selected sheets of all workbooks below a path.
+def parse_workbooks(files: DataFrame, exclude: Iterable[str] = (), batch: int = 10_000) -> DataFrame:
+    """(path, sheet, row, cells) of all selected sheets, from a frame of (path, content).
 
     Row 0 of a sheet lists its columns; data starts at row 1.
     """
     unwanted = tuple(exclude)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.xlsx")
-        .load(path)
-        .select("path", "content")
-    )
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for file, content in zip(frame["path"], frame["content"]):
                 yield from _read_file(file, content, unwanted, batch)
 
-    return files.mapInPandas(parse, SCHEMA)
+    return files.select("path", "content").mapInPandas(parse, SCHEMA)
+
+
+def read_workbooks(spark: SparkSession, path: str, exclude: Iterable[str] = ()) -> DataFrame:
+    """All selected sheets of all workbooks below a path, as `parse_workbooks` gives them."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.xlsx")
+    return parse_workbooks(files.load(path), exclude)
 
 
 def sheet_names(cells: DataFrame) -> list[str]:

@@ -11,9 +11,10 @@ from tablewright.functions import names, parse, text
 
 
 def test_null_words_then_clean(apply):
-    values = ["N/A", "none", "", "  ", " NA ", "a \t b", "NaN", "Null", "good", None, " n/a", "x \n y  "]
+    values = ["N/A", "none", "", "  ", " NA ", "a \t b", "NaN", "Null", "good", None, " n/a", "NA\n", "x \n y  "]
     got = apply(lambda c: text.clean(text.null_words(c)), values)
-    assert got == [None, None, None, None, "NA", "a b", None, None, "good", None, "n/a", "x y"]
+    assert apply(text.clean_input, values) == got
+    assert got == [None, None, None, None, "NA", "a b", None, None, "good", None, "n/a", "NA", "x y"]
 
 
 def test_every_space_python_strips_is_stripped(apply):
@@ -77,7 +78,7 @@ def test_parse_int(apply):
     cases = {
         "12 kg": 12, "12.0": 12, "1.234,00": 1234, "(5)": 5, "1e3": 13, "abc": None, "1.5": None, "1.234": None,
         "-4": -4, "4-": None, "": None, "nan": None, "9007199254740993": 9007199254740993,
-        "99999999999999999999": None, "$1.000,00": 1000, None: None,
+        "99999999999999999999": None, "1.234.567": None, "1,5.3": None, ".0": 0, "1,00.0": 1, "$1.000,00": 1000, None: None,
     }
     assert apply(parse.parse_int, list(cases)) == list(cases.values())
     assert apply(parse.is_fractional, ["1.5", "1.0", "x", None]) == [True, False, False, False]
