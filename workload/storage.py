@@ -1 +1,150 @@
+"""Sources and sinks: text folders, workbooks, databases with reset modes."""
 
+from __future__ import annotations
+
+import io
+import uuid
+import zipfile
+from collections.abc import Iterator
+from xml.sax.saxutils import escape
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablewright.functions.names import rename_tables
+from tablewright.operators.project import union_aligned
+from tablewright.session import scratch_path
+from tablewright.sources import sinks
+from tablewright.sources.sinks import Target
+from tablewright.sources.text_tables import extract, extract_tables
+from tablewright.sources.workbooks import parse_workbooks, sheet_table
+
+from .registry import Tables, query
+
+_SUMS = """SELECT '{0}' AS "table", count(*) AS n, count({1}) AS values, CAST(sum(length({1})) AS BIGINT) AS chars
+    FROM (SELECT CAST({1} AS VARCHAR) AS {1} FROM {0})"""
+_CSV = {"customer": "c_name", "orders": "o_orderpriority", "documents": "lang"}
+
+
+@query("string_source", " UNION ALL ".join(_SUMS.format(n, c) for n, c in _CSV.items()))
+def string_source(t: Tables) -> DataFrame:
+    """Tables written as delimited text and extracted again, without the hidden and excluded ones."""
+    folder = scratch_path(t.spark, "text")
+    for name in (*_CSV, "region"):
+        t(name).select([F.col(c).cast("string") for c in t(name).columns]).write.csv(
+            f"{folder}/{name}", header=True, escape='"'
+        )
+    found = extract(t.spark, folder, exclude=["region"], multiLine="true", escape='"')
+    return union_aligned(
+        [
+            df.agg(F.count(F.lit(1)).alias("n"), F.count(_CSV[name]).alias("values"), F.sum(F.length(_CSV[name])).alias("chars"))
+            .select(F.lit(name).alias("table"), "n", "values", "chars")
+            for name, df in found.items()
+        ]
+    )
+
+
+@query(
+    "typed_as_text",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier""",
+)
+def typed_as_text(t: Tables) -> DataFrame:
+    given = {" _hidden": t("region"), "supplier": t("supplier").drop("s_acctbal"), "log": t("nation")}
+    return extract_tables(given, exclude=["log"])["supplier"]
+
+
+CUSTOMERS = Target(
+    "customers",
+    T.StructType(
+        [T.StructField("id", T.LongType()), T.StructField("nombre", T.StringType()), T.StructField("is_active", T.BooleanType())]
+    ),
+    source="clientes",
+    defaults={"is_active": True},
+)
+ORDERS = Target(
+    "orders", T.StructType([T.StructField("id", T.LongType()), T.StructField("total", T.DecimalType(14, 2))]), source="pedidos"
+)
+EVENTS = Target(
+    "ingest_events", T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType())]), area="ingest"
+)
+
+
+@query(
+    "reset_and_append",
+    """SELECT 'core.customers' AS "table", 2 * count(*) AS rows, CAST(2 * sum(c_custkey) AS BIGINT) AS ids FROM customer
+       UNION ALL SELECT 'core.orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
+       UNION ALL SELECT 'ingest.ingest_events', count(*), CAST(sum(event_id) AS BIGINT) FROM events""",
+)
+def reset_and_append(t: Tables) -> DataFrame:
+    """drop_create and load, truncate and load, append once more; then what the tables hold."""
+    spark = t.spark
+    tag = uuid.uuid4().hex[:12]
+    areas = {"core": f"tablewright_core_{tag}", "ingest": f"tablewright_ingest_{tag}"}
+    targets = [CUSTOMERS, ORDERS, EVENTS]
+    location = scratch_path(spark, "warehouse")
+    frames = rename_tables(
+        {
+            "CLIENTES": t("customer").selectExpr("c_custkey AS id", "c_name AS nombre", "c_acctbal AS extra"),
+            "PEDIDOS": t("orders").selectExpr("o_orderkey AS id", "o_totalprice AS total"),
+        }
+    )
+    # a frame that only its own name connects to a target
+    frames["ingest_events"] = t("events").selectExpr("event_id AS id", "event_type AS status")
+    sinks.load(spark, frames, targets, areas, sinks.DROP_CREATE, location)
+    sinks.load(spark, frames, targets, areas, sinks.TRUNCATE, location)
+    sinks.append(spark, frames["clientes"], areas["core"], CUSTOMERS)
+    return union_aligned(
+        [
+            spark.table(f"`{areas[x.area]}`.`{x.name}`")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
+            .select(F.lit(f"{x.area}.{x.name}").alias("table"), "rows", "ids")
+            for x in targets
+        ]
+    )
+
+
+_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_DOC = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+
+def workbook_bytes(sheets: dict[str, list[list[str | None]]]) -> bytes:
+    """A minimal workbook with text cells, as a spreadsheet program would save it."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        listed, linked = [], []
+        for i, (name, rows) in enumerate(sheets.items(), 1):
+            listed.append(f'<sheet name="{escape(name)}" sheetId="{i}" r:id="rId{i}"/>')
+            linked.append(f'<Relationship Id="rId{i}" Type="{_DOC}/worksheet" Target="worksheets/sheet{i}.xml"/>')
+            body = "".join(
+                "<row>" + "".join("<c/>" if v is None else f'<c t="inlineStr"><is><t>{escape(v)}</t></is></c>' for v in row) + "</row>"
+                for row in rows
+            )
+            book.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="{_MAIN}"><sheetData>{body}</sheetData></worksheet>')
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN}" xmlns:r="{_DOC}"><sheets>{"".join(listed)}</sheets></workbook>')
+        relations = "http://schemas.openxmlformats.org/package/2006/relationships"
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{relations}">{"".join(linked)}</Relationships>')
+    return out.getvalue()
+
+
+def _to_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One workbook per batch of rows (Arrow batches are of bounded size)."""
+    for number, frame in enumerate(batches):
+        rows = frame.astype(object).where(frame.notna(), None).values.tolist()
+        content = workbook_bytes({"PROVEEDORES": [list(frame.columns), *rows], "_notas": [["x"]], "LOG": [["id"], ["1"]]})
+        yield pd.DataFrame({"path": [f"{number}-{rows[0][0] if rows else 'none'}.xlsx"], "content": [content]})
+
+
+@query(
+    "workbooks",
+    "SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS nombre FROM supplier",
+)
+def workbooks(t: Tables) -> DataFrame:
+    """Suppliers packed into workbooks and read back; missing-value words come back as NULL."""
+    rows = t("supplier").selectExpr(
+        "cast(s_suppkey as string) AS id", "CASE s_suppkey % 10 WHEN 0 THEN 'N/A' WHEN 5 THEN NULL ELSE s_name END AS nombre"
+    )
+    files = rows.mapInPandas(_to_workbooks, "path string, content binary")
+    cells = parse_workbooks(files, exclude=["LOG"])
+    return sheet_table(cells, "PROVEEDORES", ["id", "nombre"]).select("id", "nombre")
