@@ -63,7 +63,7 @@ def duck_placeholder(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_SOURCE)} FROM documents)""",
 )
 def placeholders_ext(t: Tables) -> DataFrame:
-    dirty = t("documents").selectExpr(*columns(DIRTY_SOURCE))
+    dirty = t.spread("documents").selectExpr(*columns(DIRTY_SOURCE))
     return text.placeholders_all(dirty).select("doc_id", "source", "lang", F.md5("text").alias("text_md5"))
 
 
@@ -77,7 +77,7 @@ PLAIN_TEXT = """'"' || nfc_normalize(text) || '"' || ' ' || '-' || lang || '-' |
     f"""SELECT doc_id, md5({PLAIN_TEXT}) AS folded_md5, length({PLAIN_TEXT}) AS n FROM documents""",
 )
 def unicode_fold(t: Tables) -> DataFrame:
-    fancy = t("documents").selectExpr("doc_id", f"{FANCY_TEXT} AS text")
+    fancy = t.spread("documents").selectExpr("doc_id", f"{FANCY_TEXT} AS text")
     folded = text.unicode_fold_all(fancy)
     return folded.select("doc_id", F.md5("text").alias("folded_md5"), F.length("text").cast("long").alias("n"))
 
@@ -119,7 +119,7 @@ def duck_float(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_AMOUNT)} FROM lineitem)""",
 )
 def parse_locale_float(t: Tables) -> DataFrame:
-    dirty = t("lineitem").selectExpr(*columns(DIRTY_AMOUNT)).withColumn("value", F.col("raw"))
+    dirty = t.spread("lineitem").selectExpr(*columns(DIRTY_AMOUNT)).withColumn("value", F.col("raw"))
     return parse.parse_floats(dirty, ["value"])
 
 
@@ -156,7 +156,7 @@ def duck_int(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_QUANTITY)} FROM lineitem)""",
 )
 def parse_int(t: Tables) -> DataFrame:
-    dirty = t("lineitem").selectExpr(*columns(DIRTY_QUANTITY)).withColumn("value", F.col("raw"))
+    dirty = t.spread("lineitem").selectExpr(*columns(DIRTY_QUANTITY)).withColumn("value", F.col("raw"))
     return parse.parse_ints(dirty, ["value", "absent"]).withColumn("fractional", parse.is_fractional(F.col("raw")))
 
 
@@ -177,7 +177,7 @@ DUCK_BOOL = """CASE WHEN lower(trim(raw)) IN ('true', '1', 'si', 'sí', 'y', 't'
         FROM (SELECT {select_list(DIRTY_FLAG)} FROM lineitem)""",
 )
 def parse_bool(t: Tables) -> DataFrame:
-    dirty = t("lineitem").selectExpr(*columns(DIRTY_FLAG)).withColumn("value", F.col("raw"))
+    dirty = t.spread("lineitem").selectExpr(*columns(DIRTY_FLAG)).withColumn("value", F.col("raw"))
     parsed = parse.parse_bools(dirty, ["value"])
     return parsed.withColumn("filled", parse.bool_or_default(F.col("value"), True))
 
@@ -214,7 +214,7 @@ def duck_date(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_DATE)} FROM orders)""",
 )
 def parse_dates(t: Tables) -> DataFrame:
-    dirty = t("orders").selectExpr(*columns(DIRTY_DATE)).withColumn("value", F.col("raw"))
+    dirty = t.spread("orders").selectExpr(*columns(DIRTY_DATE)).withColumn("value", F.col("raw"))
     return parse.parse_dates(dirty, ["value"]).withColumn("value", F.date_format("value", STAMP))
 
 
