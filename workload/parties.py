@@ -206,7 +206,7 @@ _ROLES_SQL = f"""WITH {PARTY_CTES},
 def party_roles(t: Tables) -> DataFrame:
     tables = source_tables(t)
     # the region source flags its rows by parity, NULL counting as active
-    cross = materialize(parties.unique_crosswalk(_crosswalk(t)), "crosswalk")
+    crosswalks = parties.Crosswalks(materialize(parties.unique_crosswalk(_crosswalk(t)), "crosswalk"))
     shapes = {
         "terceros_cliente": ("tipo_id", "vendedor_id", "factura", None),
         "terceros_proveedor": (None, None, None, None),
@@ -222,7 +222,7 @@ def party_roles(t: Tables) -> DataFrame:
         source = tables[role.source]
         if role.source in if_no_column:
             source = source.withColumn("is_active", if_no_column[role.source])
-        rows = parties.role_table(source, role, cross)
+        rows = parties.role_table(source, role, crosswalks)
         picked = [
             (F.col(c) if c else F.lit(None)).cast(k).alias(n) for c, k, n in zip(shapes[name], kinds, names)
         ]
@@ -238,7 +238,7 @@ def party_roles(t: Tables) -> DataFrame:
 def remap_orders(t: Tables) -> DataFrame:
     cross = materialize(parties.unique_crosswalk(_crosswalk(t)), "crosswalk")
     orders = t("orders").select("o_orderkey", F.col("o_custkey").alias("cliente_id"), "o_totalprice")
-    return remap.remap_table(orders, remap.Crosswalks(cross))
+    return remap.remap_table(orders, parties.Crosswalks(cross))
 
 
 @query(
