@@ -29,7 +29,8 @@ class Tables:
         df = self(name)
         if len(df.inputFiles()) > 1:
             return df
-        return df.repartition(self.spark.sparkContext.defaultParallelism)
+        # by the key column: repeatable in a retried task without the sort a round robin needs
+        return df.repartition(self.spark.sparkContext.defaultParallelism, df.columns[0])
 
 
 def query(name: str, sql: str | None = None):
