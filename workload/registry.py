@@ -29,8 +29,8 @@ class Tables:
         df = self(name)
         if len(df.inputFiles()) > 1:
             return df
-        # by the key column: repeatable in a retried task without the sort a round robin needs
-        return df.repartition(self.spark.sparkContext.defaultParallelism, df.columns[0])
+        # round robin, not by a key: no key can make one of the parts heavy
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
 
 
 def query(name: str, sql: str | None = None):
