@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,16 +36,40 @@ def session(
     return builder.getOrCreate()
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application.
+
+    Functions that run in Python workers are pickled by reference, so the workers must be able to
+    import the package, wherever the driver found it.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = _shipped[app] = tempfile.TemporaryDirectory()  # Spark serves the file while the application runs
+    archive = os.path.join(os.path.realpath(folder.name), f"{os.path.basename(package)}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for top, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(top, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, where lineage is cut.
 
-    It is the cluster's `spark.checkpoint.dir`.  Only a local session without one gets a folder of
-    its own; a cluster session without one is an error, since a machine-local folder would be lost
-    together with its machine.
+    It is the cluster's `spark.checkpoint.dir`.  Only a single-JVM session without one gets a folder
+    of its own; any other session without one is an error, since a machine-local folder would be
+    lost together with its machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
