@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship
-from . import quality
+from . import language, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,24 @@ def query(name: str, table: str = "documents"):
     return register
 
 
+HELD_OUT = "pmod(crc32(cast(doc_id as string)), 3) = 1"
+
+
+@query("op1_language_id")
+def _op1(docs: DataFrame, folder: str) -> DataFrame:
+    models = language.train(language.labelled_windows(docs))
+    found = language.identify(docs, models)
+    return found.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "lang_pred", "score", "bits")
+
+
+@query("op9_toxicity")
+def _op9(docs: DataFrame, folder: str) -> DataFrame:
+    labels = docs.sparkSession.read.parquet(f"{folder}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @query("op6_quality_rules")
 def _op6(docs: DataFrame, folder: str) -> DataFrame:
     return quality.judged(docs)

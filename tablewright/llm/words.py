@@ -90,8 +90,9 @@ def slices(column: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int, Text
         lo = hi
 
 
-def words(texts: Texts) -> Words:
-    inside = IN_WORD[texts.data]
+def words(texts: Texts, kind: np.ndarray = IN_WORD) -> Words:
+    """Maximal runs of bytes for which `kind` is true, inside each text."""
+    inside = kind[texts.data]
     n = len(inside)
     if n == 0:
         empty = np.zeros(0, np.int64)
@@ -113,12 +114,22 @@ def running(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
-    """64-bit hashes of byte ranges; `fold` takes A-Z for a-z."""
+def byte_sums(data: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Sums from which `range_hash` takes the hash of any byte range; `fold` takes A-Z for a-z."""
     power, inverse = _powers(_BYTE_BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_FOLDED if fold else _RANDOM)[data] * power[:-1], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    return sums, inverse
+
+
+def range_hash(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    total, inverse = sums
+    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
+    """64-bit hashes of byte ranges."""
+    return range_hash(byte_sums(data, fold), start, end)
 
 
 def owners(first: np.ndarray) -> np.ndarray:
@@ -134,9 +145,7 @@ def run_sums(hashes: np.ndarray, lane: int = 0) -> tuple[np.ndarray, np.ndarray]
     return sums, inverse
 
 
-def run_hash(sums: tuple[np.ndarray, np.ndarray], at: np.ndarray, to: np.ndarray) -> np.ndarray:
-    total, inverse = sums
-    return mix((total[to] - total[at]) * inverse[at] + (to - at).astype(np.uint64))
+run_hash = range_hash  # the same, over the sums of `run_sums`
 
 
 def window_starts(first: np.ndarray, length: int) -> np.ndarray:
