@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
-from . import language, quality, toxicity
+from ..session import materialize, ship
+from . import language, mixing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,13 @@ def _op9(docs: DataFrame, folder: str) -> DataFrame:
 @query("op6_quality_rules")
 def _op6(docs: DataFrame, folder: str) -> DataFrame:
     return quality.judged(docs)
+
+
+@query("op10_mix_sources")
+def _op10(docs: DataFrame, folder: str) -> DataFrame:
+    sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
+    queue = mixing.served(materialize(sized, "sizes"))
+    return queue.drop("source").orderBy("virtual_finish", "doc_id")
+
+
+ORACLES["op10_mix_sources"] = mixing.SQL
