@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
-from . import language, mixing, quality, toxicity
+from . import language, mixing, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def _op9(docs: DataFrame, folder: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@query("op3_pii")
+def _op3(docs: DataFrame, folder: str) -> DataFrame:
+    return pii.report(docs)
+
+
 @query("op6_quality_rules")
 def _op6(docs: DataFrame, folder: str) -> DataFrame:
     return quality.judged(docs)
