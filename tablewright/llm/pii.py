@@ -119,8 +119,9 @@ EXTRA: list[tuple[str, re.Pattern, float, Callable[[str], bool] | None]] = [
     ("ssn", re.compile(r"(?<![0-9-])((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])"), 0.4, None),
     ("secret", re.compile(r"(?<![A-Za-z0-9])(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|[0-9a-f]{32,64})(?![A-Za-z0-9])"), 0.4, None),
 ]
-# a quoted value behind a name for secrets needs no shape of its own
-_ASSIGNED = ("secret", re.compile(r"(?:password|passwd|secret|token|api[_-]?key)[\"']?[ ]{0,3}[:=][ ]{0,3}([\"'])([^\s\"']{6,200})\1", re.I), 0.4, None)
+# a value behind a name for secrets needs a digit, but no shape of its own
+_ASSIGNED = ("secret", re.compile(r"(?:password|passwd|secret|token|api[_-]?key)[\"']?[ ]{0,3}[:=][ ]{0,3}[\"']?([^\s\"']{6,200})", re.I), 0.2,
+             lambda s: _HAS_DIGIT.search(s) is not None)
 _HAS_DIGIT = re.compile(r"[0-9]")
 _OWN_PREFIX = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
 _EXTRA_ORDER = ("iban", "ssn", "secret")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
-from . import language, mixing, pii, quality, toxicity
+from . import language, mixing, packing, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,7 @@ def query(name: str, table: str = "documents"):
     return register
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 3) = 1"
 
 
@@ -46,6 +48,11 @@ def _op9(docs: DataFrame, folder: str) -> DataFrame:
     return scored.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@query("op2_pack")
+def _op2(docs: DataFrame, folder: str) -> DataFrame:
+    return packing.pack(packing.pieces(docs, TOKENIZER))
+
+
 @query("op3_pii")
 def _op3(docs: DataFrame, folder: str) -> DataFrame:
     return pii.report(docs)
