@@ -12,21 +12,25 @@ from pyspark.sql.types import StructType
 TEACHING = "pmod(crc32(cast({id} as string)), 3) != 1"  # rows from which labels may be learned
 
 
-def arrow_stage(df: DataFrame, schema: StructType | str, fn: Callable[[pa.RecordBatch], Iterator[dict]]) -> DataFrame:
-    """Run `fn` on every Arrow batch; it yields dicts of columns in the shape of `schema`."""
+def arrow_stage(
+    df: DataFrame, schema: StructType | str, fn: Callable[..., Iterator[dict]], whole: bool = False
+) -> DataFrame:
+    """Run `fn` on every Arrow batch, or once on the batches of a partition if `whole`.
+
+    It yields dicts of columns in the shape of `schema`.
+    """
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     # like Spark's own batches: no field is called non-null
     fields = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for columns in fn(batch):
-                arrays = [
-                    v if isinstance(v, pa.Array) else pa.array(v, f.type)
-                    for v, f in ((columns[f.name], f) for f in fields)
-                ]
-                arrays = [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, fields, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+        for columns in fn(batches) if whole else (c for batch in batches for c in fn(batch)):
+            arrays = [
+                v if isinstance(v, pa.Array) else pa.array(v, f.type)
+                for v, f in ((columns[f.name], f) for f in fields)
+            ]
+            arrays = [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, fields, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
     return df.mapInArrow(run, kind)
 

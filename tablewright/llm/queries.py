@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
-from . import language, mixing, packing, pii, quality, toxicity
+from . import jaccard, language, mixing, packing, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,6 +63,12 @@ def _op6(docs: DataFrame, folder: str) -> DataFrame:
     return quality.judged(docs)
 
 
+@query("op7_jaccard_join")
+def _op7(docs: DataFrame, folder: str) -> DataFrame:
+    found = jaccard.similar_groups(docs)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 @query("op10_mix_sources")
 def _op10(docs: DataFrame, folder: str) -> DataFrame:
     sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
