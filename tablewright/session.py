@@ -36,6 +36,7 @@ def session(
     return builder.getOrCreate()
 
 
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -90,5 +91,11 @@ def materialize(df: DataFrame, label: str = "stage", partition_by: tuple[str, ..
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    # what the write shuffled is not read again: let Spark remove it now, not at some garbage collection
+    tidy = spark.conf.get(_TIDY, "false")
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(_TIDY, tidy)
     return spark.read.schema(df.schema).parquet(path)
