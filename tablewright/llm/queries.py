@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
-from . import jaccard, language, mixing, packing, pii, quality, toxicity
+from . import jaccard, language, mixing, packing, pii, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,6 +69,12 @@ def _op7(docs: DataFrame, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+@query("op8_substring_dedup")
+def _op8(docs: DataFrame, folder: str) -> DataFrame:
+    left = substrings.without_repeats(docs)
+    return left.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op10_mix_sources")
 def _op10(docs: DataFrame, folder: str) -> DataFrame:
     sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
