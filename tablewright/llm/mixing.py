@@ -61,7 +61,7 @@ def targets(
         .withColumn("level", (F.col("budget") - F.col("full")) / F.col("open"))
     )
     fits = F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))
-    share = F.min(fits).over(every) * F.col("weight")
+    share = F.max(fits).over(every) * F.col("weight")
     target = F.least(F.col("cap").cast("double"), F.coalesce(share, F.col("cap").cast("double")))
     return per.select("source", "source_size", target.alias("target"))
 
@@ -71,7 +71,9 @@ def served(
     weights: Sequence[int] = WEIGHTS, budget_percent: int = BUDGET_PERCENT,
 ) -> DataFrame:
     """Rows of `docs` (with `source` and `size`) and their service: `source_size`, `target`, the words
-    handed out before it in its queue (`before`), `virtual_finish` of its first turn, and `taken`."""
+    handed out before it in its queue (`before`), `virtual_finish` of its first turn, and `taken`.
+    Input columns with the names of these, or of `turn` and `words`, are replaced."""
+    docs = docs.drop("source_size", "target", "before", "virtual_finish", "taken", "turn", "words", "__turn", "__part", "__inside", "__offset", "__p", "__s")
     goal = materialize(targets(docs.select("source", "size"), weights, budget_percent, epochs), "targets")
     if goal.count() <= BROADCAST_ROWS:
         goal = F.broadcast(goal)
@@ -137,7 +139,7 @@ WITH sized AS (
   SELECT *, (budget - filled::DOUBLE) / open_weight::DOUBLE AS level FROM levels
 ), goal AS (
   SELECT source, source_size,
-         least(cap::DOUBLE, (SELECT min(level) FROM shares WHERE level <= cap::DOUBLE / weight) * weight) AS target
+         least(cap::DOUBLE, (SELECT max(level) FROM shares WHERE level <= cap::DOUBLE / weight) * weight) AS target
   FROM shares
 ), queued AS (
   SELECT d.doc_id, d.size, g.source_size, g.target,
