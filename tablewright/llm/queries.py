@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
-from . import jaccard, language, mixing, packing, pii, quality, substrings, toxicity
+from . import html_text, jaccard, language, mixing, neighbors, packing, pii, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,18 @@ def _op3(docs: DataFrame, folder: str) -> DataFrame:
     return pii.report(docs)
 
 
+@query("op4_near_vectors", "embeddings")
+def _op4(vectors: DataFrame, folder: str) -> DataFrame:
+    found = neighbors.near_duplicates(vectors)
+    kept = (F.col("id") == F.col("component")).alias("kept")
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept)
+
+
+@query("op5_page_text", "pages")
+def _op5(pages: DataFrame, folder: str) -> DataFrame:
+    return html_text.extract(pages)
+
+
 @query("op6_quality_rules")
 def _op6(docs: DataFrame, folder: str) -> DataFrame:
     return quality.judged(docs)

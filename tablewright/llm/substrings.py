@@ -17,8 +17,8 @@ there, so passages, lines and copies that many documents share do not gather in
 sorted order tell what repeats.  Fingerprints that decide have 128 bits.
 
 Null and empty texts have no words.  Texts shorter than a window keep every word.  Ids name texts:
-repeated rows (same id and text) repeat each other and lose all windows.  An empty table gives an empty
-result.
+repeated rows (same id and text) repeat each other and lose all windows; rows without an id keep every
+word and are no one's other place.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -253,6 +253,7 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`id, spans`: for every id with repeating windows their ranges (`at`, `windows`)."""
+    docs = docs.where(F.col(f"`{key}`").isNotNull())
     found = materialize(extended(seeds(docs, key, text)), "segments")
     single = materialize(repeating_windows(windows_of(docs, found.where("open"), key, text)), "windows")
     spans = found.where("not open").select("id", "at", "windows").unionByName(single)
