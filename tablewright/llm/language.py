@@ -6,7 +6,7 @@ phrase; the next phrase begins there.  The fewer phrases a language needs, norma
 its labelled text (phrases * log2(size) / symbols, the cross-parsing entropy), the closer it is.
 
 The automata are dense transition tables in which a failing step already leads on to the first state
-of the next phrase, with a flag that counts it.  Documents are cut into segments of `SEGMENT` symbols
+of the next phrase, with the count of phrases it ends.  Documents are cut into segments of `SEGMENT` symbols
 (a phrase ends at a cut), and all segments of a slice take a step at once, in all languages.
 
 Labels are read from at most `WINDOWS` windows of `WINDOW_CHARS` characters per language, taken at
@@ -35,7 +35,7 @@ WINDOWS, WINDOW_CHARS = 64, 256
 SEGMENT = 1024
 MAX_LETTERS = 254
 EVIDENCE = 64  # symbols that count for the score; more would only push it to 1
-_FLAG = 1 << 30
+_PHRASE = 29  # bits above hold the phrases that a step ends
 _SPACE, _RARE = 0, 1
 
 
@@ -109,11 +109,11 @@ def train(windows: dict[str, list[str]]) -> Models:
         symbols = to_symbols(np.frombuffer(t.encode("utf-32-le"), np.uint32), codes)
         arrows = automaton(symbols.tolist(), size)
         root = arrows[0]
-        # a failing step begins the next phrase with its symbol, alone if the language lacks it
-        after = np.where(root >= 0, root, 0)
-        step = np.where(arrows >= 0, arrows, after[None, :] | _FLAG)
-        flat = ((step & (_FLAG - 1)) + base) * size + (step & _FLAG)
-        tables.append(flat.astype(np.int32).ravel())
+        # a failing step ends a phrase and begins the next with its symbol; one that the language lacks
+        # is a phrase of its own
+        ended = np.where(root >= 0, 1, 2) - (np.arange(len(arrows)) == 0)[:, None]
+        step = (np.where(arrows >= 0, arrows, np.maximum(root, 0)) + base) * size
+        tables.append((step + np.where(arrows >= 0, 0, ended << _PHRASE)).astype(np.int32).ravel())
         roots.append(base * size)
         bits.append(np.log2(max(len(symbols), 2)))
         base += len(arrows)
@@ -158,11 +158,12 @@ def parse(parts: list[np.ndarray], models: Models) -> np.ndarray:
     ordered = np.array(length)[order]
     active = np.searchsorted(-ordered, -np.arange(len(lanes)), "left")  # lanes longer than the step
     state = np.repeat(models.roots[:, None], len(order), 1)
-    phrases = np.ones(state.shape, np.int32)  # the last phrase is ended by the segment
+    phrases = np.zeros(state.shape, np.int32)
     for i, a in enumerate(active):
         step = models.table.take(state[:, :a] + lanes[i, :a])
-        phrases[:, :a] += step >> 30
-        state[:, :a] = step & (_FLAG - 1)
+        phrases[:, :a] += step >> _PHRASE
+        state[:, :a] = step & ((1 << _PHRASE) - 1)
+    phrases += state != models.roots[:, None]  # the end of a segment ends its last phrase
     np.add.at(counts, np.array(owner)[order], phrases.T)
     return counts
 
