@@ -7,8 +7,8 @@ negative (it would reward memorising):
 
     R = pi * E_pos[loss(+)] + max(0, E_unl[loss(-)] - pi * E_pos[loss(-)])
 
-A few linear classifiers over hashed words and word beginnings are trained with numpy on different
-parts of a bounded sample (`MAX_POSITIVE`, `MAX_UNLABELLED` texts, chosen by hash); the score is the
+A few linear classifiers over hashed words and word beginnings are trained with numpy, each leaving out
+another part of a bounded sample (`MAX_POSITIVE`, `MAX_UNLABELLED` texts, chosen by hash); the score is the
 mean of their probabilities.  Scoring reads every text whole, in vectorised slices.
 
 Null and empty texts have no features and get the score of the intercept.  Without confirmed toxic
@@ -32,8 +32,9 @@ MAX_POSITIVE, MAX_UNLABELLED = 2000, 6000
 HASH_BITS = 20
 BEGINNINGS = (4, 5, 6)  # bytes
 FEATURES = 4000
+SIGNIFICANT, RATIO = 3.0, 3.0  # standard deviations; share among positives to share among all
 CLASSIFIERS = 3
-STEPS, RATE, DECAY = 300, 0.1, 1e-4
+STEPS, RATE, DECAY = 300, 0.1, 5e-5
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -100,21 +101,43 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     if not positive or not unlabelled:
         return None
     size = 1 << HASH_BITS
+    positive = _unlike(positive)
     in_pos = np.bincount(np.concatenate(positive), minlength=size)
     in_unl = np.bincount(np.concatenate(unlabelled), minlength=size)
-    p = (in_pos + 0.5) / (len(positive) + 1)
-    u = (in_unl + 0.5) / (len(unlabelled) + 1)
-    gain = np.log(p / u) * np.sqrt(in_pos + in_unl)
-    gain[in_pos < min(3, len(positive))] = 0
-    chosen = np.argsort(-np.abs(gain), kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[gain[chosen] != 0])
+    # evidence: features that are beyond chance and several times commoner among the positives.  Words
+    # that merely go with a language or a topic would say nothing, and rare ones could only be memorised
+    p, u = in_pos / len(positive), in_unl / len(unlabelled)
+    pooled = (in_pos + in_unl + 1) / (len(positive) + len(unlabelled) + 2)
+    z = (p - u) / np.sqrt(pooled * (1 - pooled) * (1 / len(positive) + 1 / len(unlabelled)))
+    z[(in_pos < min(3, len(positive))) | (p < RATIO * u)] = 0
+    chosen = np.argsort(-z, kind="stable")[:FEATURES]
+    chosen = np.sort(chosen[(z[chosen] >= SIGNIFICANT) & (z[chosen] > 0)])
     column = np.full(size, -1, np.int32)
     column[chosen] = np.arange(len(chosen))
-    parts = [_fit_one(positive[k::CLASSIFIERS] or positive, unlabelled[k::CLASSIFIERS] or unlabelled, column, len(chosen), prior)
-             for k in range(CLASSIFIERS)]
+    parts = [_fit_one(_without(positive, k), _without(unlabelled, k), column, len(chosen), prior) for k in range(CLASSIFIERS)]
     return Model(column, np.stack([w for w, _ in parts], 1), np.array([b for _, b in parts]))
 
 
+def _unlike(sets: list[np.ndarray], buckets: int = 8192) -> list[np.ndarray]:
+    """Sets that share less than half with each set kept before: copies would vouch for their own words."""
+    incidence = np.zeros((len(sets), buckets), np.float32)
+    for i, s in enumerate(sets):
+        incidence[i, s % buckets] = 1
+    size = incidence.sum(1)
+    both = incidence @ incidence.T
+    alike = 2 * both >= size[:, None] + size[None, :] - both
+    kept: list[int] = []
+    for i in range(len(sets)):
+        if not alike[i, kept].any():
+            kept.append(i)
+    return [sets[i] for i in kept]
+
+
+def _without(sets: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """All but every CLASSIFIERS-th set, from k on."""
+    return [s for i, s in enumerate(sets) if i % CLASSIFIERS != k] or sets
+
+
 def _fit_one(positive: list, unlabelled: list, column: np.ndarray, size: int, prior: float) -> tuple[np.ndarray, float]:
     """Full-batch Adam on the non-negative risk with the logistic loss."""
     sets = [*positive, *unlabelled]
