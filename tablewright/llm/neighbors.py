@@ -94,7 +94,7 @@ class Graph:
         between = np.einsum("bcd,bed->bce", x, x)
         chosen = np.zeros(ids.shape, bool)
         for j in range(ids.shape[1]):
-            hidden = (chosen[:, :j] & (between[:, j, :j] > near[:, j, None])).any(1) if j else False
+            hidden = (chosen[:, :j] & (between[:, j, :j] > near[:, j, None])).any(1)
             chosen[:, j] = (ids[:, j] >= 0) & ~hidden
         rank = np.argsort(np.where(chosen, 0, 1) + np.where(ids < 0, 2, 0), axis=1, kind="stable")[:, :most]
         return np.take_along_axis(ids, rank, 1)
