@@ -9,8 +9,9 @@ taken only where a product can matter:
    candidates.  Shingles are called frequent by the counts of those that repeat inside blocks of the
    scan, over all documents; the list is bounded (`FREQUENT`), and only the amount of work depends on
    it, never the result.
-3. Nodes that share such a shingle and have compatible sizes (a factor of t) are chained to candidate
-   groups.  Within a block of the scan only one row per shingle and size class goes to the shuffle.
+3. Nodes that share such a shingle and have compatible sizes (a factor of t) form candidate groups: they
+   are chained over frequent shingles, of which a block of the scan sends one row per size class; over
+   the others their overlap in the prefixes is accumulated, and pairs below their bound are discarded.
 4. A candidate group is cut into blocks of bounded size; each pair of blocks is a task's work: a dense
    product of its shared columns, accumulating overlaps, skipping blocks whose sizes cannot reach t or
    which are connected already.  Only the edges of a spanning forest leave the task.
@@ -39,7 +40,8 @@ from .frames import arrow_stage
 
 SHINGLE = 5
 THRESHOLD = 80  # percent
-FREQUENT, FREQUENT_FROM = 1 << 20, 8
+FREQUENT, FREQUENT_FROM = 1 << 20, 2
+PAIRED = 64  # nodes per shingle of which pairs are counted
 COUNTED = 4_000_000  # shingles of one block of the scan
 BLOCK_SHINGLES, BLOCK_NODES = 2_000_000, 4096
 TILE = 1024
@@ -121,24 +123,38 @@ def frequent_shingles(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], top["uses"].to_numpy().astype(np.int64)[order]
 
 
-def prefix(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], threshold: int = THRESHOLD) -> np.ndarray:
-    """The first shingles in the common order: by frequency, then hash."""
-    n = len(tokens)
-    keep = n - -(-threshold * n // 100) + 1
+def prefix_length(n: int, threshold: int = THRESHOLD) -> int:
+    return n - -(-threshold * n // 100) + 1
+
+
+def prefix(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles in the common order (by frequency, then hash), and which are frequent."""
+    keep = prefix_length(len(tokens))
     names, uses = frequent
-    if len(names):
-        at = np.minimum(np.searchsorted(names, tokens), len(names) - 1)
-        rank = np.where(names[at] == tokens, uses[at], 0)
-        tokens = tokens[np.argsort(rank, kind="stable")]
-    return tokens[:keep]
+    if not len(names):
+        return tokens[:keep], np.zeros(keep, bool)
+    at = np.minimum(np.searchsorted(names, tokens), len(names) - 1)
+    rank = np.where(names[at] == tokens, uses[at], 0)
+    order = np.argsort(rank, kind="stable")[:keep]
+    return tokens[order], rank[order] > 0
+
+
+def _columns(batch: pa.RecordBatch, names: tuple[str, ...]) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
 
 
 def candidates(docs: DataFrame, key: str, text: str, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Edges `a, b` between first fingerprints that make up the candidate groups."""
+    """Edges `a, b` between first fingerprints that make up the candidate groups.
+
+    Nodes that share a frequent shingle, or one that turns up in more than `PAIRED` nodes, are chained.
+    For the other shingles the pairs are counted: a pair with c shared prefix shingles has an overlap of
+    at most c plus what lies behind a prefix, and goes on only if that reaches its bound.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT pairs
 
-    def chained(token: np.ndarray, level: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def chained(token: np.ndarray, size: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Neighbours in sorted rows that share a shingle, in the same or the next size class."""
+        level = (np.log(size) / _CLASS).astype(np.int64)
         near = (token[1:] == token[:-1]) & (level[1:] - level[:-1] <= 1) & (node[1:] != node[:-1])
         return node[1:][near], node[:-1][near]
 
@@ -151,8 +167,8 @@ def candidates(docs: DataFrame, key: str, text: str, frequent: tuple[np.ndarray,
                 for s, f in zip(sets, f1, strict=True):
                     if len(s) and int(f) not in seen:
                         seen.add(int(f))
-                        first = prefix(s, shared.value)
-                        block.append((first, int(np.log(len(s)) / _CLASS), f))
+                        first, hot = prefix(s, shared.value)
+                        block.append((first, hot, len(s), f))
                         size += len(first)
                 if size >= COUNTED:
                     yield from flush(block)
@@ -162,43 +178,79 @@ def candidates(docs: DataFrame, key: str, text: str, frequent: tuple[np.ndarray,
     def flush(block: list) -> Iterator[dict]:
         if not block:
             return
-        sizes = [len(b[0]) for b in block]
-        token = np.concatenate([b[0] for b in block])
-        level = np.repeat(np.array([b[1] for b in block], np.int32), sizes)
-        node = np.repeat(np.array([b[2] for b in block], np.uint64), sizes)
-        order = np.lexsort((level, token))
-        token, level, node = token[order], level[order], node[order]
-        a, b = chained(token, level, node)
+        lengths = [len(b[0]) for b in block]
+        token, hot = (np.concatenate([b[k] for b in block]) for k in (0, 1))
+        size = np.repeat(np.array([b[2] for b in block], np.int32), lengths)
+        node = np.repeat(np.array([b[3] for b in block], np.uint64), lengths)
+        yield {"token": W.signed(token[~hot]), "size": size[~hot], "hot": np.zeros(int((~hot).sum()), bool), "a": W.signed(node[~hot]), "b": pa.nulls(int((~hot).sum()), pa.int64())}
+        token, size, node = token[hot], size[hot], node[hot]
+        order = np.lexsort((size, token))
+        token, size, node = token[order], size[order], node[order]
+        a, b = chained(token, size, node)
         none = pa.nulls(len(a), pa.int64())
-        yield {"token": none, "level": none, "a": W.signed(a), "b": W.signed(b)}
+        yield {"token": none, "size": none, "hot": np.ones(len(a), bool), "a": W.signed(a), "b": W.signed(b)}
+        level = (np.log(size) / _CLASS).astype(np.int64)
         first = np.ones(len(token), bool)  # one row per shingle and size class stands for the block's
         first[1:] = (token[1:] != token[:-1]) | (level[1:] != level[:-1])
-        yield {"token": W.signed(token[first]), "level": level[first], "a": W.signed(node[first]), "b": pa.nulls(int(first.sum()), pa.int64())}
+        yield {"token": W.signed(token[first]), "size": size[first], "hot": np.ones(int(first.sum()), bool), "a": W.signed(node[first]), "b": pa.nulls(int(first.sum()), pa.int64())}
 
-    rows = arrow_stage(_keyed(docs, key, text), "token long, level int, a long, b long", scan, whole=True)
+    rows = arrow_stage(_keyed(docs, key, text), "token long, size int, hot boolean, a long, b long", scan, whole=True)
     # edges found in a block have no shingle: they are spread by their ends
-    spread = F.coalesce("token", F.xxhash64("a", "b"))
-    rows = rows.withColumn("spread", spread).repartition("spread").sortWithinPartitions("token", "level", "a")
+    rows = rows.repartition(F.coalesce("token", F.xxhash64("a", "b"))).sortWithinPartitions("token", "size", "a")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        last = None
+        held = None  # the last shingle's rows, or its last row once it is chained
         for batch in batches:
             edge = batch.filter(batch.column("b").is_valid())
             if len(edge):
-                pairs = np.unique(np.stack([edge.column("a").to_numpy(), edge.column("b").to_numpy()], 1), axis=0)
-                yield {"a": pairs[:, 0], "b": pairs[:, 1]}
+                yield from edges(*_columns(edge, ("a", "b")))
             rest = batch.filter(batch.column("b").is_null())
-            if len(rest):
-                token, level, node = (rest.column(c).to_numpy() for c in ("token", "level", "a"))
-                if last is not None:
-                    token, level, node = (np.concatenate([x, y]) for x, y in zip(last, (token, level, node), strict=True))
-                last = token[-1:], level[-1:], node[-1:]
-                a, b = chained(token, level, node)
-                if len(a):
-                    pairs = np.unique(np.stack([a, b], 1), axis=0)
-                    yield {"a": pairs[:, 0], "b": pairs[:, 1]}
-
-    return arrow_stage(rows, "a long, b long", merge, whole=True)
+            if not len(rest):
+                continue
+            c = _columns(rest, ("token", "size", "hot", "a"))
+            if held is not None:
+                c = [np.concatenate([x, y]) for x, y in zip(held, c, strict=True)]
+            last = int(np.searchsorted(c[0], c[0][-1]))
+            yield from judge(*(x[:last] for x in c))
+            held = [x[last:] for x in c]
+            if len(held[0]) > PAIRED:
+                held[2][:] = True  # too many to pair, however many follow
+                yield from judge(*held)
+                held = [x[-1:] for x in held]
+        if held is not None:
+            yield from judge(*held)
+
+    def judge(token: np.ndarray, size: np.ndarray, hot: np.ndarray, node: np.ndarray) -> Iterator[dict]:
+        if not len(token):
+            return
+        head = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        count = np.diff(np.append(head, len(token)))
+        chain = np.repeat((count > PAIRED) | np.maximum.reduceat(hot, head), count)
+        if chain.any():
+            yield from edges(*chained(token[chain], size[chain], node[chain]))
+        pairs = []
+        for step in range(1, int(count[count <= PAIRED].max(initial=1))):  # rows that are `step` apart
+            near = (token[step:] == token[:-step]) & ~chain[step:] & (node[step:] != node[:-step])
+            near &= 100 * size[:-step].astype(np.int64) >= THRESHOLD * size[step:].astype(np.int64)
+            pairs.append(np.stack([node[step:][near], node[:-step][near], size[step:][near], size[:-step][near]], 1))
+        if pairs and sum(map(len, pairs)):
+            found = np.concatenate(pairs).astype(np.int64)
+            swap = found[:, 0] > found[:, 1]
+            found[swap] = found[swap][:, [1, 0, 3, 2]]
+            found, uses = np.unique(found, axis=0, return_counts=True)
+            yield {"a": found[:, 0], "b": found[:, 1], "na": found[:, 2], "nb": found[:, 3], "uses": uses}
+
+    def edges(a: np.ndarray, b: np.ndarray) -> Iterator[dict]:
+        if len(a):
+            pairs = np.unique(np.stack([a, b], 1), axis=0)
+            none = pa.nulls(len(pairs), pa.int64())
+            yield {"a": pairs[:, 0], "b": pairs[:, 1], "na": none, "nb": none, "uses": none}
+
+    found = arrow_stage(rows, "a long, b long, na long, nb long, uses long", merge, whole=True)
+    found = found.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("uses").alias("uses"), F.max(F.isnull("uses")).alias("chained"))
+    behind = F.ceil(F.greatest("na", "nb") * THRESHOLD / 100) - 1
+    bound = F.ceil((F.col("na") + F.col("nb")) * THRESHOLD / (100 + THRESHOLD))
+    return found.where(F.col("chained") | (F.col("uses") + behind >= bound)).select("a", "b")
 
 
 def members(docs: DataFrame, key: str, text: str, groups: DataFrame) -> DataFrame:
@@ -346,7 +398,6 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the least of their group, each id once."""
-    kept = similar_groups(docs, key, text).where("id = component").select(F.col("id").alias("__id")).distinct()
-    rows = docs.join(kept, F.col(f"`{key}`") == F.col("__id"), "left_semi")
-    return rows.dropDuplicates([key])
+    """The rows of `docs` whose id is the least of their group, each id once; rows without an id go."""
+    kept = similar_groups(docs, key, text).where("id = component").select(F.col("id").alias(key)).distinct()
+    return docs.join(kept, key, "left_semi").select(docs.columns).dropDuplicates([key])
