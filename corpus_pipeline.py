@@ -50,10 +50,14 @@ def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of all pieces with their sequences and offsets."""
+    """Where every piece of every document goes: sequence, offset, and its place among the document's ids.
+
+    The ids themselves stay with the texts (`packing.pieces(..., keep_ids=True)` gives them): they are
+    several times the size of the plan, which is sorted and numbered.
+    """
     ship(spark)
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(packing.pieces(docs.select(*COLUMNS), tokenizer, keep_ids=True))
+    return packing.pack(packing.pieces(docs.select(*COLUMNS), tokenizer))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -31,6 +31,7 @@ def arrow_stage(
             ]
             arrays = [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, fields, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=fields)
+        pa.default_memory_pool().release_unused()  # workers live on for other stages
 
     return df.mapInArrow(run, kind)
 

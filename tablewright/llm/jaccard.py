@@ -42,7 +42,7 @@ SHINGLE = 5
 THRESHOLD = 80  # percent
 FREQUENT, FREQUENT_FROM = 1 << 20, 2
 PAIRED = 64  # nodes per shingle of which pairs are counted
-COUNTED = 4_000_000  # shingles of one block of the scan
+COUNTED = 2_000_000  # shingles of one block of the scan
 BLOCK_SHINGLES, BLOCK_NODES = 2_000_000, 4096
 TILE = 1024
 FILTER_BITS = 22

@@ -12,7 +12,7 @@ document and piece) belongs to an interval of the plan, hence to a sequence and
 Numbers within a length come from `dense_ids` (range partitions and their counts), so a length that
 most documents share is no single task.  Tokenizing remembers words: the tokenizer drops white space
 and never joins across it, so a text's ids are those of its words, and a word seen before costs a
-dictionary lookup.  The memory is bounded by `REMEMBERED` words per worker.
+dictionary lookup.  The memory is bounded by about `REMEMBERED` words per worker.
 
 Null texts are empty; an empty text is the end id alone.  Repeated rows are packed each.  An empty table
 gives an empty result.
@@ -36,39 +36,51 @@ from .words import slices
 
 CAPACITY = 4096
 END_ID = 1
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # pieces into which the tokenizer splits; only used where letters and marks are beyond doubt
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zµß-öø-ÿ]+|[0-9]|[^\sa-z0-9µß-öø-ÿ]+")
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 
 
 class WordIds(dict):
-    """Token ids of words as little-endian 32-bit bytes."""
+    """Token ids of words as little-endian 32-bit bytes, learnt for many words at once."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
-        self.pieces: dict[bytes, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            ids = b"".join([self.piece(p) for p in _PIECES.findall(text.lower())])
+        self.pieces: dict[str, bytes] = {}
+
+    def learn(self, words: list[bytes]) -> None:
+        """Make sure that all these words are known; forget the others when there are too many."""
+        for cache in (self, self.pieces):
+            if len(cache) > REMEMBERED:
+                cache.clear()
+        split: dict[bytes, list[str]] = {}
+        for word in set(words).difference(self):
+            text = word.decode("utf-8", "replace")
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                split[word] = _PIECES.findall(text.lower())
+            else:
+                self[word] = self._encode(text)
+        self._learn_pieces(list({p for parts in split.values() for p in parts}.difference(self.pieces)))
+        known = self.pieces
+        for word, parts in split.items():
+            self[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """One call for all pieces: with blanks between them, each is a word of its own to the tokenizer."""
+        if not pieces:
+            return
+        found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        word = np.array(found.word_ids)
+        ids = np.array(found.ids, "<u4").tobytes()
+        cut = np.searchsorted(word, np.arange(len(pieces) + 1)) * 4
+        if len(word) and word[-1] == len(pieces) - 1 and (np.diff(cut) > 0).all() and (np.diff(word) >= 0).all():
+            self.pieces.update((p, ids[a:b]) for p, a, b in zip(pieces, cut[:-1].tolist(), cut[1:].tolist(), strict=True))
         else:
-            ids = self.encode(text)
-        if len(self) < REMEMBERED and len(word) <= 32:
-            self[word] = ids
-        return ids
+            self.pieces.update((p, self._encode(p)) for p in pieces)
 
-    def piece(self, text: str) -> bytes:
-        ids = self.pieces.get(text)
-        if ids is None:
-            ids = self.encode(text)
-            if len(self.pieces) < REMEMBERED and len(text) <= 32:
-                self.pieces[text] = ids
-        return ids
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 _loaded: dict[str, WordIds] = {}
@@ -93,10 +105,12 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         keys, column = batch.columns
         for lo, hi, t in slices(column):
             raw, bounds = t.data.tobytes(), t.bounds.tolist()
+            # bytes are split at ASCII white space only: the tokenizer itself sees the rest
+            words = [raw[a:b].split() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            known.learn([w for part in words for w in part])
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i in range(hi - lo):
-                # bytes are split at ASCII white space only: the tokenizer itself sees the rest
-                whole = b"".join([known[w] for w in raw[bounds[i] : bounds[i + 1]].split()]) + end
+                whole = b"".join([known[w] for w in words[i]]) + end
                 for n, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     row.append(i)

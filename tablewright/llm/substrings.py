@@ -36,7 +36,7 @@ from .frames import arrow_stage
 
 LENGTH = 35
 SEED = 8
-BLOCK = 1_000_000  # rows of one block of a scan
+BLOCK = 500_000  # rows of one block of a scan
 _REACH = LENGTH - SEED + 1  # runs of SEED words in a window
 
 

@@ -225,7 +225,9 @@ def test_word_ids_are_the_tokenizers(tokenizer):
     for _ in range(4000):
         text = "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40)))
         ids = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        assert b"".join(known[w] for w in text.encode().split()) == ids, repr(text)
+        words = text.encode().split()
+        known.learn(words)
+        assert b"".join(known[w] for w in words) == ids, repr(text)
 
 
 def test_packing(spark, texts, tokenizer):
