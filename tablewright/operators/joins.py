@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024  # right sides measured above this are shuffled
-HOT_SHARE = 0.002  # a key with this share of the left rows is hot: at most 1/HOT_SHARE keys are
-HOT_ROWS = 1_000_000  # ... provided it has this many rows
-TRACKED_KEYS = 20_000  # sketch size; its error is far below HOT_SHARE
+HOT_SHARE = 0.002  # a key with this share of the left rows is hot, and so is one that would fill a ...
+HOT_ROWS = 1_000_000  # ... shuffle partition of average size, provided it has this many rows
+HOT_KEYS = 1000  # keys that the sketch reports; with P partitions at most P keys can fill one
+TRACKED_KEYS = 20_000  # sketch size
 
 
 @dataclass(frozen=True)
@@ -53,18 +54,18 @@ def hot_hashes(df: DataFrame, key_hash: Column, limits: Limits = Limits()) -> li
     """Hashes of the keys that hold a large share of all rows.
 
     One pass with a mergeable frequent-items sketch: whole data, no shuffle of rows, and a result
-    of at most 1/hot_share entries.  It only decides how rows are distributed, never which rows.
+    of at most HOT_KEYS entries.  It only decides how rows are distributed, never which rows.
     """
-    top = int(1 / limits.hot_share)
     row = (
         df.select(key_hash.alias("h"))
         .agg(
-            F.expr(f"approx_top_k(h, {min(top, 1000)}, {TRACKED_KEYS})").alias("top"),
+            F.expr(f"approx_top_k(h, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
             F.count(F.lit(1)).alias("n"),
         )
         .first()
     )
-    floor = max(limits.hot_rows, row["n"] * limits.hot_share)
+    share = min(limits.hot_share, 1 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    floor = max(limits.hot_rows, row["n"] * share)
     return [item["item"] for item in (row["top"] or []) if item["count"] >= floor]
 
 
@@ -80,7 +81,8 @@ def attach(
     """Join `right` to `left` on `{left column: right column}`.
 
     Returns the left columns plus, for left and inner joins, the `take` columns of `right`.
-    `small` states a size check already made by the caller; None measures here.
+    `small` states a size check already made by the caller; None measures here.  On a streaming left
+    side no action runs: its hot keys stay unknown, and the join is a plain one.
     """
     semi = how in ("left_semi", "left_anti")
     wanted = [] if semi else list(take)
@@ -107,20 +109,23 @@ def attach(
 
     types = [side.schema[f"__k{i}"].dataType for i in range(len(keys))]
     left_hash = F.xxhash64(*[left[c].cast(t) for c, t in zip(on, types)])
-    hot = hot_hashes(left, left_hash, limits)
-    if not hot:
+    if left.isStreaming:
         return left.join(side, condition, how).select(*[f"`{c}`" for c in out])
+    hot = hot_hashes(left.dropna(subset=list(on)), left_hash, limits)
+    keyless = F.lit(False)
+    if how in ("left", "left_anti"):  # rows without a key stay, and need no partner: spread them
+        for column in on:
+            keyless = keyless | left[column].isNull()
 
     # Hot keys get a salt derived from the whole row (so a retried task repeats it), and the few
     # right rows that carry a hot key are copied once per salt.
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row_hash = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in left.columns])
-    salted = left.withColumn(
-        "__salt", F.when(left_hash.isin(*hot), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    )
+    spread_row = keyless | left_hash.isin(*hot) if hot else keyless
+    salted = left.withColumn("__salt", F.when(spread_row, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
     right_hash = F.xxhash64(*[F.col(f"__k{i}") for i in range(len(keys))])
     copies = F.when(right_hash.isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = side.withColumn("__copy", F.explode(copies))
+    spread = side.withColumn("__copy", F.explode(copies) if hot else F.lit(0))
     condition = salted["__salt"] == spread["__copy"]
     for i, column in enumerate(on):
         condition = condition & (salted[column] == spread[f"__k{i}"])

@@ -20,12 +20,17 @@ class ConformError(ValueError):
 
 @dataclass(frozen=True)
 class Lookup:
-    """Replace `column` by `{column}_id`, found where `label` of `table` has the same match key."""
+    """Replace `column` by `{column}_id`, found where `label` of `table` has the same match key.
+
+    Where a label is unique only inside something else, `within` pairs columns that must be equal as
+    well: (column of the frame, column of the table).  They are columns of ids and are looked up first.
+    """
 
     column: str
     table: str
     label: str
     id_column: str = "id"
+    within: tuple[tuple[str, str], ...] = ()
 
     @property
     def target(self) -> str:
@@ -36,7 +41,7 @@ class Lookup:
 class Dimension:
     """A lookup side: one row per unambiguous key, and what is wrong with the rest."""
 
-    keys: DataFrame  # __key, __id
+    keys: DataFrame  # __key, __id, and __in0, ... for the columns it is within
     ambiguous: DataFrame  # __key, n
     small: bool
     clean: bool
@@ -52,18 +57,21 @@ def dimension(
     if lookup.table not in tables:
         raise ConformError(f"lookup table {lookup.table!r} is not available")
     table = tables[lookup.table]
-    for needed in (lookup.label, lookup.id_column):
+    inside = [f"__in{i}" for i in range(len(lookup.within))]
+    for needed in (lookup.label, lookup.id_column, *[c for _, c in lookup.within]):
         if needed not in table.columns:
             raise ConformError(f"lookup table {lookup.table!r} has no column {needed!r}")
     pairs = table.select(
         match_key(F.col(lookup.label).cast("string"), exact_casefold=exact_casefold).alias("__key"),
         F.col(lookup.id_column).alias("__id"),
+        *[F.col(c).cast("long").alias(name) for name, (_, c) in zip(inside, lookup.within)],
     ).dropna()
-    grouped = pairs.groupBy("__key").agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("n"))
+    grouped = pairs.groupBy("__key", *inside).agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("n"))
     facts = grouped.agg(F.sum(row_bytes(grouped)).alias("b"), F.max("n").alias("n")).first()
     return Dimension(
-        keys=grouped.where("n = 1").select("__key", "__id"),
-        ambiguous=grouped.where("n > 1").select("__key", "n"),
+        keys=grouped.where("n = 1").select("__key", "__id", *inside),
+        # within other columns, the same label may be ambiguous several times
+        ambiguous=grouped.where("n > 1").groupBy("__key").agg(F.sum("n").alias("n")),
         small=(facts["b"] or 0) <= limits.broadcast_bytes,
         clean=(facts["n"] or 0) <= 1,
     )
@@ -78,10 +86,10 @@ class Dimensions:
         self._tables = tables
         self.exact_casefold = exact_casefold
         self.limits = limits
-        self._sides: dict[tuple[str, str, str], Dimension] = {}
+        self._sides: dict[tuple, Dimension] = {}
 
     def side(self, lookup: Lookup) -> Dimension:
-        key = (lookup.table, lookup.label, lookup.id_column)
+        key = (lookup.table, lookup.label, lookup.id_column, tuple(c for _, c in lookup.within))
         if key not in self._sides:
             self._sides[key] = dimension(self._tables, lookup, self.exact_casefold, self.limits)
         return self._sides[key]
@@ -120,14 +128,20 @@ def with_keys(
         dim = dimensions.side(lk)
         if strict:
             _fail_if_ambiguous(lk, dim)
+        on = {f"__key_{lk.column}": "__key"}
+        for i, (own, _) in enumerate(lk.within):
+            if own not in out.columns:
+                raise ConformError(f"{lk.column!r} is looked up within {own!r}, which the table does not have")
+            out = out.withColumn(f"__own{i}", F.col(own).try_cast("long") if dict(out.dtypes)[own] == "string" else F.col(own).cast("long"))
+            on[f"__own{i}"] = f"__in{i}"
         out = attach(
             out,
             dim.keys.withColumnRenamed("__id", lk.target),
-            {f"__key_{lk.column}": "__key"},
+            on,
             take=[lk.target],
             small=dim.small,
             limits=dimensions.limits,
-        )
+        ).drop(*[f"__own{i}" for i in range(len(lk.within))])
     return out, applied
 
 

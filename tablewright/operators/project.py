@@ -14,7 +14,10 @@ from ..functions.text import strip, text_columns
 
 # --- fixed values -------------------------------------------------------------------------------
 UNNAMED = re.compile(r"^unnamed(:\s*\d+)?$", re.IGNORECASE)
-AUDIT_COLUMNS = ("created_at", "updated_at", "deleted_at", "deleted_by_user_id", "ingest_event_id")
+AUDIT_COLUMNS = {
+    "created_at": "timestamp", "updated_at": "timestamp", "deleted_at": "timestamp",
+    "deleted_by_user_id": "long", "ingest_event_id": "long",
+}
 # ------------------------------------------------------------------------------------------------
 
 
@@ -42,55 +45,19 @@ def now_utc() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def add_created_at(
-    df: DataFrame, value: object = None, overwrite: bool = False, column: str = "created_at"
-) -> DataFrame:
-    """One load time for the whole table: the given value, or now."""
-    return _add(df, {column: _constant(now_utc() if value is None else value, "timestamp")}, overwrite)
+def audited(df: DataFrame, values: Mapping[str, object] | None = None, overwrite: bool = False) -> DataFrame:
+    """Audit columns in one projection: those named in `values`, or all five for None.
 
-
-def add_updated_at(
-    df: DataFrame, value: object = None, overwrite: bool = False, column: str = "updated_at"
-) -> DataFrame:
-    return _add(df, {column: _constant(value, "timestamp")}, overwrite)
-
-
-def add_deleted_at(
-    df: DataFrame, value: object = None, overwrite: bool = False, column: str = "deleted_at"
-) -> DataFrame:
-    return _add(df, {column: _constant(value, "timestamp")}, overwrite)
-
-
-def add_deleted_by_user_id(
-    df: DataFrame, value: object = None, overwrite: bool = False, column: str = "deleted_by_user_id"
-) -> DataFrame:
-    """NULL, a constant, or a value per row given as a Column."""
-    return _add(df, {column: _constant(value, "long")}, overwrite)
-
-
-def add_ingest_event_id(
-    df: DataFrame, value: object = None, overwrite: bool = False, column: str = "ingest_event_id"
-) -> DataFrame:
-    """NULL, a constant, or a value per row given as a Column."""
-    return _add(df, {column: _constant(value, "long")}, overwrite)
-
-
-def add_audit_columns(
-    df: DataFrame,
-    created_at: object = None,
-    updated_at: object = None,
-    deleted_at: object = None,
-    deleted_by_user_id: object = None,
-    ingest_event_id: object = None,
-    overwrite: bool = False,
-) -> DataFrame:
-    """All five audit columns in one projection."""
-    created = now_utc() if created_at is None else created_at
-    given = (created, updated_at, deleted_at, deleted_by_user_id, ingest_event_id)
-    kinds = ("timestamp", "timestamp", "timestamp", "long", "long")
-    return _add(
-        df, {c: _constant(v, k) for c, v, k in zip(AUDIT_COLUMNS, given, kinds)}, overwrite
-    )
+    A value is a constant, or a Column for one per row; without one `created_at` is now and the others
+    NULL.  Columns that are there stay unless `overwrite`.
+    """
+    given = dict.fromkeys(AUDIT_COLUMNS) if values is None else dict(values)
+    unknown = sorted(set(given) - set(AUDIT_COLUMNS))
+    if unknown:
+        raise ValueError(f"no audit columns: {unknown}")
+    if given.get("created_at", True) is None:
+        given["created_at"] = now_utc()
+    return _add(df, {c: _constant(given[c], kind) for c, kind in AUDIT_COLUMNS.items() if c in given}, overwrite)
 
 
 def alive(df: DataFrame, column: str = "deleted_at") -> DataFrame:

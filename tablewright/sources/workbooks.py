@@ -105,22 +105,54 @@ def _rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: set[int])
             yield row
 
 
+def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+    """The strings that cells refer to by number, parsed as they stream in."""
+    found: list[str] = []
+    if "xl/sharedStrings.xml" in book.namelist():
+        with book.open("xl/sharedStrings.xml") as stream:
+            for _, node in ElementTree.iterparse(stream):
+                if node.tag == MAIN + "si":
+                    found.append(_text_of(node))
+                    node.clear()
+    return found
+
+
+def _column_names(header: dict[int, str | None], width: int, names: list[str]) -> list[str]:
+    """Names of the columns up to `width`, going on from those given so far.
+
+    A cell without text makes `Unnamed: i`; a name that was there before gets `.1`, `.2` and so on.
+    """
+    taken = set(names)
+    for i in range(len(names), width):
+        base = name = header.get(i) or f"Unnamed: {i}"
+        number = 0
+        while name in taken:
+            number += 1
+            name = f"{base}.{number}"
+        taken.add(name)
+        names.append(name)
+    return names
+
+
 def _read_file(path: str, content: bytes, exclude: tuple[str, ...], batch: int) -> Iterator[pd.DataFrame]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        strings = _part(book, "xl/sharedStrings.xml")
-        shared = [_text_of(s) for s in strings.iter(MAIN + "si")] if strings is not None else []
+        shared = _shared_strings(book)
         dates = _date_styles(book)
         parts = dict(_sheets(book))
         for sheet in select_tables(parts, exclude):
-            header, out = None, []
+            header, names, out = None, [], []
             for number, row in enumerate(_rows(book, parts[sheet], shared, dates)):
+                width = max(row, default=-1) + 1
                 if header is None:
-                    header = {i: v if v is not None else f"Unnamed: {i}" for i, v in row.items()}
+                    header = row
                     # row 0 keeps the header, so that sheets without rows keep their columns
-                    out.append((path, sheet, 0, {name: None for name in header.values()}))
+                    names = _column_names(header, width, names)
+                    out.append((path, sheet, 0, dict.fromkeys(names)))
                     continue
-                cells = {name: row.get(i) for i, name in header.items()}
-                out.append((path, sheet, number, cells))
+                if width > len(names):  # cells beyond the header are columns too
+                    names = _column_names(header, width, names)
+                    out.append((path, sheet, 0, dict.fromkeys(names)))
+                out.append((path, sheet, number, {name: row.get(i) for i, name in enumerate(names)}))
                 if len(out) >= batch:
                     yield pd.DataFrame(out, columns=["path", "sheet", "row", "cells"])
                     out = []
@@ -131,7 +163,8 @@ def _read_file(path: str, content: bytes, exclude: tuple[str, ...], batch: int)
 def parse_workbooks(files: DataFrame, exclude: Iterable[str] = (), batch: int = 10_000) -> DataFrame:
     """(path, sheet, row, cells) of all selected sheets, from a frame of (path, content).
 
-    Row 0 of a sheet lists its columns; data starts at row 1.
+    Rows 0 of a sheet list its columns; data starts at row 1.  A repeated header gets a number (`a`,
+    `a.1`), a missing one becomes `Unnamed: i`, also for cells beyond the header.
     """
     unwanted = tuple(exclude)
 

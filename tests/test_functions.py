@@ -28,10 +28,10 @@ def test_every_space_python_strips_is_stripped(apply):
 def test_placeholders(apply):
     values = ["-", " -- ", "S/I", "Sin Información", "no_aplica", "n/a.", "—", "ok", "-x", " keep ", None]
     assert apply(text.placeholders, values) == [None] * 7 + ["ok", "-x", " keep ", None]
-    assert apply(lambda c: text.placeholders(c, ["Foo"]), ["foo", " FOO ", "-"]) == [None, None, "-"]
-    exact = lambda c: text.placeholders(c, ["Foo"], casefold=False, trim=False)
+    assert apply(lambda c: text.placeholders(c, words=["foo"]), ["foo", " FOO ", "-"]) == [None, None, "-"]
+    exact = lambda c: text.placeholders(c, key=c, words=["Foo"])
     assert apply(exact, ["foo", "Foo", " Foo"]) == ["foo", None, " Foo"]
-    assert apply(lambda c: text.placeholders(c, []), ["-", ""]) == ["-", ""]
+    assert apply(lambda c: text.placeholders(c, words=[]), ["-", ""]) == ["-", ""]
 
 
 def test_unicode_fold(apply):
@@ -79,6 +79,7 @@ def test_parse_int(apply):
         "12 kg": 12, "12.0": 12, "1.234,00": 1234, "(5)": 5, "1e3": 13, "abc": None, "1.5": None, "1.234": None,
         "-4": -4, "4-": None, "": None, "nan": None, "9007199254740993": 9007199254740993,
         "99999999999999999999": None, "1.234.567": None, "1,5.3": None, ".0": 0, "1,00.0": 1, "$1.000,00": 1000, None: None,
+        "1.234," + "0" * 900 + ".0": 1234, "1," + "x" * 900 + ".0": 1, "1.234\n,00": 1234, "1\n2": 12,
     }
     assert apply(parse.parse_int, list(cases)) == list(cases.values())
     assert apply(parse.is_fractional, ["1.5", "1.0", "x", None]) == [True, False, False, False]
@@ -100,10 +101,15 @@ def test_parse_date(apply):
         "5/3/70": d(1970, 3, 5), "05/03/2024 7:08": d(2024, 3, 5, 7, 8), "05/03/2024 07:08:09": d(2024, 3, 5, 7, 8, 9),
         "31/02/2024": None, "foo": None, "": None, " 05/03/2024 ": d(2024, 3, 5), "2024-02-30": None, "13/13/2024": None,
         "2024": None, "5/3-2024": None, "5/3/024": None, "2024-03-05Z": None, None: None,
+        "20240105": d(2024, 1, 5), "05-Jan-2024": d(2024, 1, 5), "5 sept 2024": d(2024, 9, 5), "05-Foo-2024": None,
+        "2024/01/05": d(2024, 1, 5), "2024-1-5": d(2024, 1, 5), "2024.1.5 7:08": d(2024, 1, 5, 7, 8), "20241305": None,
+        "2024-03-05T10:00:00Z": d(2024, 3, 5, 10), "2024-03-05T10:00:00+02:00": d(2024, 3, 5, 8), "12/25/2024": d(2024, 12, 25),
     }
     assert apply(parse.parse_date, list(cases)) == list(cases.values())
     us = lambda c: parse.parse_date(c, dayfirst=False)
-    assert apply(us, ["03/05/2024", "2024-03-05", "13/05/2024"]) == [d(2024, 3, 5), d(2024, 3, 5), None]
+    assert apply(us, ["03/05/2024", "2024-03-05", "13/05/2024", "25/12/2024", "31/02/2024"]) == [
+        d(2024, 3, 5), d(2024, 3, 5), d(2024, 5, 13), d(2024, 12, 25), None,
+    ]
 
 
 TABLE_NAMES = {

@@ -131,9 +131,10 @@ def test_parties_by_hand(sources):
     assert sorted(got) == [1, 2, 3, 4, 5]
     assert [got[i]["nombre"] for i in sorted(got)] == [None, "", "Ana  Paz", "zeta", None]
     ana = got[3]
-    assert (ana["rut"], ana["telefono"], ana["id_old"]) == ("r1", "t2", "clientes:1|clientes:10|clientes:2|proveedores:1")
-    assert got[5]["id_old"] == "clientes:3|proveedores:2" and got[5]["rut"] == "R9"
-    assert {got[1]["id_old"], got[2]["id_old"]} == {"clientes:4", "destinatarios:4"}
+    keys = {r["party_id"]: r["id_old"] for r in out["terceros_id_old"].collect()}
+    assert (ana["rut"], ana["telefono"], keys[3]) == ("r1", "t2", "clientes:1|clientes:10|clientes:2|proveedores:1")
+    assert keys[5] == "clientes:3|proveedores:2" and got[5]["rut"] == "R9"
+    assert {keys[1], keys[2]} == {"clientes:4", "destinatarios:4"}
     assert ana["is_active"] is True
     roles = {n: out[n].count() for n in parties.ROLES}
     assert roles == {
@@ -183,8 +184,8 @@ def test_remap(spark):
     assert rows(remap.unmapped_ids(df, cross)) == [("cliente_id", 6, 1)]
     actors = spark.createDataFrame([(1, 7, None), (2, None, "8"), (3, 7, "8"), (4, None, None)], "id long, trabajador_id long, cliente_id string")
     assert rows(remap.collapse_actors(actors)) == [(1, 7), (2, 8), (3, 7), (4, None)]
-    assert [r["id"] for r in remap.multiple_actors(actors).collect()] == [3]
-    with pytest.raises(ConformError, match="more than one actor"):
+    assert [r["key"] for r in remap.actor_violations(actors, "egresos").collect()] == ["3"]
+    with pytest.raises(ConformError, match="one_actor"):
         remap.collapse_actors(actors, strict=True)
 
 
@@ -245,19 +246,69 @@ def test_projections(spark, text_frame):
     assert project.drop_empty_columns(df, unnamed=False, all_blank=False).columns == ["a", "Unnamed: 0", "b"]
     assert project.drop_empty_columns(df, all_null=False, all_blank=False).columns == ["a", "b", "c"]
     assert project.drop_empty_columns(text_frame("a b")).columns == []
-    kept = project.add_created_at(df.withColumn("created_at", F.lit("old")), NOW).first()["created_at"]
-    assert kept == "old"
-    assert project.add_created_at(df.withColumn("created_at", F.lit("old")), NOW, overwrite=True).first()["created_at"] == NOW
-    audited = project.add_audit_columns(df, deleted_by_user_id=F.lit("3")).first()
-    assert audited["deleted_by_user_id"] == 3 and audited["updated_at"] is None and audited["created_at"] is not None
-    for add, name in (
-        (project.add_updated_at, "updated_at"), (project.add_deleted_at, "deleted_at"),
-        (project.add_deleted_by_user_id, "deleted_by_user_id"), (project.add_ingest_event_id, "ingest_event_id"),
-    ):
-        assert add(df).first()[name] is None
+    old = df.withColumn("created_at", F.lit("old"))
+    assert project.audited(old, {"created_at": NOW}).first()["created_at"] == "old"
+    assert project.audited(old, {"created_at": NOW}, overwrite=True).first()["created_at"] == NOW
+    row = project.audited(df, {**dict.fromkeys(project.AUDIT_COLUMNS), "deleted_by_user_id": F.lit("3")}).first()
+    assert row["deleted_by_user_id"] == 3 and row["updated_at"] is None and row["created_at"] is not None
+    assert project.audited(df).columns == [*df.columns, *project.AUDIT_COLUMNS]
+    assert project.audited(df, {"deleted_at": None}).first()["deleted_at"] is None
+    with pytest.raises(ValueError, match="no audit columns"):
+        project.audited(df, {"other": 1})
     assert {r["column"]: (r["non_null"], r["nulls"]) for r in project.profile(df).collect()}["a"] == (1, 1)
     assert project.dtypes_text(df).splitlines()[0] == "a: string"
     assert project.column_difference(df, ["a", "z"]) == (["z"], ["Unnamed: 0", "b", "c"])
     assert project.union_aligned([text_frame("a b", [("1", "2")]), text_frame("b c", [("3", "4")])]).count() == 2
     numbers = spark.createDataFrame([(float("nan"), 1)], "x double, y int")
     assert tuple(project.nan_to_null(numbers).first()) == (None, 1)
+
+
+def test_last_names_count_for_people_only(spark):
+    row = [(1, "Ana", "Paz")]
+    tables = {s: spark.createDataFrame(row, "id long, nombre string, apellido string") for s in parties.SOURCES}
+    keys = {r["source"]: r["dedupe_key"] for r in parties.stage_parties(tables).collect()}
+    assert keys == {s: "name:ana paz" if s == "trabajadores" else "name:ana" for s in parties.SOURCES}
+
+
+def test_golden_record_of_tied_rows(spark):
+    rows_ = [(i, "x", f"r{i % 3}", 5) for i in (4, 2, 9, 2)]
+    tables = {s: spark.createDataFrame(rows_ if s == "clientes" else [], "id long, nombre string, rut string, _ord long") for s in parties.SOURCES}
+    got = [parties.golden_records(parties.stage_parties({**tables, "clientes": tables["clientes"].repartition(n)})).first() for n in (1, 3)]
+    assert got[0]["rut"] == got[1]["rut"] == "r2"
+
+
+def test_deletes_within_one_table(spark):
+    t = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 3), (5, None), (6, 5)], "id long, up long")
+    gone = spark.createDataFrame([(1,)], "id long")
+    left, blocked = deletes.propagate({"t": t}, [deletes.ForeignKey("t", "up", "t", on_delete=deletes.CASCADE)], {"t": gone})
+    assert rows(left["t"]) == [(5, None), (6, 5)] and blocked is None
+    left, _ = deletes.propagate({"t": t}, [deletes.ForeignKey("t", "up", "t", on_delete=deletes.SET_NULL)], {"t": gone})
+    assert (2, None) in rows(left["t"])
+    _, blocked = deletes.propagate({"t": t}, [deletes.ForeignKey("t", "up", "t")], {"t": gone})
+    assert [(r["column"], r["key"]) for r in blocked.collect()] == [("up", "1")]
+
+
+def test_foreign_keys_of_one_child(spark):
+    child = spark.createDataFrame([(1, "7", 1.0), (2, "x", 2.5), (None, None, None), (9, "7", 9.0)], "a long, b string, c double")
+    parent = spark.createDataFrame([(1,), (2,), (7,)], "id long")
+    found = quality.foreign_keys(child, "t", {"a": (parent, "p", "id"), "b": (parent, "p", "id"), "c": (parent, "p", "id")})
+    assert sorted((r["column"], r["key"], r["value"]) for r in found.collect()) == [("a", "9", "1"), ("b", "x", "1"), ("c", "2.5", "1"), ("c", "9", "1")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 4  # the child once, a parent per key
+
+
+def test_large_lookup_on_a_stream(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,color\n1,red\n2,\n3,blue\n")
+    stream = spark.readStream.schema("id string, color string").option("header", True).csv(str(tmp_path))
+    known = spark.createDataFrame([("red", 7)], "name string, code int")
+    out = attach(stream, known, {"color": "name"}, take=["code"], small=False)
+    q = out.writeStream.format("memory").queryName("large_lookup").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert rows(spark.table("large_lookup").select("id", "code")) == sorted([("1", 7), ("2", None), ("3", None)], key=repr)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    left = spark.range(200).selectExpr("id", "CASE WHEN id < 20 THEN id END AS k")
+    right = spark.range(5).selectExpr("id AS r", "id * 10 AS v")
+    out = attach(left, right, {"k": "r"}, take=["v"], limits=Limits(broadcast_bytes=0))
+    assert out.count() == 200 and out.where("v is not null").count() == 5
+    assert "pmod" in out._jdf.queryExecution().optimizedPlan().toString()

@@ -71,8 +71,9 @@ def main() -> int:
         if not same:
             bad += 1
             print("  columns", sorted(df.columns), sorted(names))
-            extra = [r for r in got if r not in set(expected)][:5] if got else []
-            lost = [r for r in expected if r not in set(got)][:5] if expected else []
+            there, here = set(expected), set(got)
+            extra = [r for r in got if r not in there][:5]
+            lost = [r for r in expected if r not in here][:5]
             print("  only in Spark ", extra, "\n  only in oracle", lost, len(expected))
     print("bad:", bad)
     return 1 if bad else 0

@@ -121,7 +121,13 @@ def dq_pk(t: Tables) -> DataFrame:
     UNION ALL
     SELECT 'orders', 'foreign_key', 'o_custkey', CAST(o_custkey AS VARCHAR), CAST(count(*) AS VARCHAR), 'not in customer.c_custkey'
     FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS o_custkey FROM orders)
-    WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) GROUP BY o_custkey""",
+    WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) GROUP BY o_custkey
+    UNION ALL
+    SELECT 'lineitem', 'foreign_key', 'part', CAST(l_partkey AS VARCHAR), CAST(count(*) AS VARCHAR), 'not in part.p_partkey'
+    FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 3 <> 0) GROUP BY l_partkey
+    UNION ALL
+    SELECT 'lineitem', 'foreign_key', 'supplier', 'S-' || CAST(l_suppkey AS VARCHAR), CAST(count(*) AS VARCHAR), 'not in supplier.s_suppkey'
+    FROM lineitem WHERE l_suppkey % 4 = 1 GROUP BY l_suppkey""",
 )
 def dq_fk(t: Tables) -> DataFrame:
     """Orphans, one of them a single value that a third of all orders hold."""
@@ -131,6 +137,17 @@ def dq_fk(t: Tables) -> DataFrame:
         [
             quality.foreign_key(_lines(t), "lineitem", "l_orderkey", orders, "orders", "o_orderkey"),
             quality.foreign_key(skewed, "orders", "o_custkey", t("customer"), "customer", "c_custkey"),
+            # two keys of one child in one scan, the second one text that is not always a number
+            quality.foreign_keys(
+                t("lineitem").selectExpr(
+                    "l_partkey AS part", "if(l_suppkey % 4 = 1, 'S-', '') || cast(l_suppkey as string) AS supplier"
+                ),
+                "lineitem",
+                {
+                    "part": (t("part").where("p_partkey % 3 <> 0"), "part", "p_partkey"),
+                    "supplier": (t("supplier"), "supplier", "s_suppkey"),
+                },
+            ),
         ]
     )
 

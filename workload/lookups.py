@@ -33,6 +33,20 @@ def lookup_ids(t: Tables) -> DataFrame:
     return lookup.to_ids(labels, [ask], {"nation": t("nation")}, strict=True)
 
 
+@query(
+    "lookup_composite",
+    """SELECT c_custkey, c_nationkey, id AS seller_id FROM customer LEFT JOIN (
+          SELECT s_nationkey, s_suppkey % 10 AS k, min(s_suppkey) AS id FROM supplier GROUP BY ALL HAVING count(*) = 1)
+       ON s_nationkey = c_nationkey AND k = c_custkey % 10""",
+)
+def lookup_composite(t: Tables) -> DataFrame:
+    """Labels that are unique inside a nation only; where even that fails, there is no id."""
+    sellers = t("supplier").selectExpr("s_suppkey", "s_nationkey", "'Seller ' || cast(s_suppkey % 10 as string) AS label")
+    asked = t("customer").selectExpr("c_custkey", "c_nationkey", "' SELLER ' || cast(c_custkey % 10 as string) AS seller")
+    ask = Lookup("seller", "supplier", "label", "s_suppkey", within=(("c_nationkey", "s_nationkey"),))
+    return lookup.to_ids(asked, [ask], {"supplier": sellers})
+
+
 LINE_LABELS = {
     "l_orderkey": "l_orderkey",
     "l_linenumber": "l_linenumber",
@@ -60,7 +74,7 @@ LINE_LOOKUPS = [
         LEFT JOIN region ON lower(trim(region)) = lower(r_name)""",
 )
 def lookup_multi(t: Tables) -> DataFrame:
-    labels = t.spread("lineitem").selectExpr(*columns(LINE_LABELS))
+    labels = t("lineitem").selectExpr(*columns(LINE_LABELS))
     sides = {name: t(name) for name in ("supplier", "nation", "region")}
     return lookup.to_ids(labels, LINE_LOOKUPS, sides)
 
@@ -76,7 +90,7 @@ _CUT = "substr(s_name, 1, 17)"
 
 
 def _broken(t: Tables) -> tuple[DataFrame, Dimensions, list[Lookup]]:
-    labels = t.spread("lineitem").selectExpr(*columns(BROKEN_LABELS))
+    labels = t("lineitem").selectExpr(*columns(BROKEN_LABELS))
     suppliers = t("supplier").selectExpr("s_suppkey AS id", f"{_CUT} AS s_name")
     nations = t("nation").selectExpr("n_nationkey AS id", "n_name")
     dimensions = Dimensions({"supplier": suppliers, "nation": nations})
@@ -166,8 +180,8 @@ def _duck_sheet(exprs: dict[str, str], table: str) -> str:
 
 
 def _conformed(t: Tables) -> tuple[DataFrame, DataFrame]:
-    orders = common_clean(t.spread("orders").selectExpr(*columns(ORDER_SHEET)))
-    lines = common_clean(t.spread("lineitem").selectExpr(*columns(LINE_SHEET)))
+    orders = common_clean(t("orders").selectExpr(*columns(ORDER_SHEET)))
+    lines = common_clean(t("lineitem").selectExpr(*columns(LINE_SHEET)))
     tables = {
         "clientes": common_clean(as_text(t("customer"))),
         "proveedores": common_clean(as_text(t("supplier"))),
@@ -235,10 +249,10 @@ def conform_orders(t: Tables) -> DataFrame:
 )
 def revenue_by_segment(t: Tables) -> DataFrame:
     """All-text lines and orders, cleaned, parsed, looked up and aggregated."""
-    lines = t.spread("lineitem").selectExpr(*columns(DIRTY_AMOUNT), "cast(l_orderkey as string) AS pedido")
+    lines = t("lineitem").selectExpr(*columns(DIRTY_AMOUNT), "cast(l_orderkey as string) AS pedido")
     lines = conform(common_clean(lines).drop("l_orderkey"), TablePlan(ints=("pedido",), floats=("raw",)), {})
     label = "'CUSTOMER#' || lpad(cast(o_custkey as string), 9, '0') || ' '"
-    orders = common_clean(t.spread("orders").selectExpr("cast(o_orderkey as string) AS id", f"{label} AS cliente"))
+    orders = common_clean(t("orders").selectExpr("cast(o_orderkey as string) AS id", f"{label} AS cliente"))
     plan = TablePlan(lookups=(Lookup("cliente", "clientes", "c_name", "c_mktsegment"),), ints=("id",))
     orders = conform(orders, plan, {"clientes": t("customer")})
     return (

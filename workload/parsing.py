@@ -63,7 +63,7 @@ def duck_placeholder(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_SOURCE)} FROM documents)""",
 )
 def placeholders_ext(t: Tables) -> DataFrame:
-    dirty = t.spread("documents").selectExpr(*columns(DIRTY_SOURCE))
+    dirty = t("documents").selectExpr(*columns(DIRTY_SOURCE))
     return text.placeholders_all(dirty).select("doc_id", "source", "lang", F.md5("text").alias("text_md5"))
 
 
@@ -77,7 +77,7 @@ PLAIN_TEXT = """'"' || nfc_normalize(text) || '"' || ' ' || '-' || lang || '-' |
     f"""SELECT doc_id, md5({PLAIN_TEXT}) AS folded_md5, length({PLAIN_TEXT}) AS n FROM documents""",
 )
 def unicode_fold(t: Tables) -> DataFrame:
-    fancy = t.spread("documents").selectExpr("doc_id", f"{FANCY_TEXT} AS text")
+    fancy = t("documents").selectExpr("doc_id", f"{FANCY_TEXT} AS text")
     folded = text.unicode_fold_all(fancy)
     return folded.select("doc_id", F.md5("text").alias("folded_md5"), F.length("text").cast("long").alias("n"))
 
@@ -119,14 +119,17 @@ def duck_float(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_AMOUNT)} FROM lineitem)""",
 )
 def parse_locale_float(t: Tables) -> DataFrame:
-    dirty = t.spread("lineitem").selectExpr(*columns(DIRTY_AMOUNT)).withColumn("value", F.col("raw"))
+    dirty = t("lineitem").selectExpr(*columns(DIRTY_AMOUNT)).withColumn("value", F.col("raw"))
     return parse.parse_floats(dirty, ["value"])
 
 
 DIRTY_QUANTITY = {
     "l_orderkey": "l_orderkey",
     "l_linenumber": "l_linenumber",
-    "raw": """CASE (l_orderkey + l_partkey) % 8
+    "raw": """CASE (l_orderkey + l_partkey) % 11
+        WHEN 8 THEN '1.234,' || repeat('0', 500) || '.0'
+        WHEN 9 THEN '1,' || repeat('x', 450 + l_linenumber) || '.0'
+        WHEN 10 THEN '1.' || chr(10) || lpad(cast(cast(l_quantity as bigint) as string), 3, '0') || chr(10) || ',00'
         WHEN 0 THEN cast(cast(l_quantity as bigint) as string) || ' kg'
         WHEN 1 THEN '(' || cast(cast(l_quantity as bigint) as string) || ')'
         WHEN 2 THEN '1.' || lpad(cast(cast(l_quantity as bigint) as string), 3, '0') || ',00'
@@ -156,7 +159,7 @@ def duck_int(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_QUANTITY)} FROM lineitem)""",
 )
 def parse_int(t: Tables) -> DataFrame:
-    dirty = t.spread("lineitem").selectExpr(*columns(DIRTY_QUANTITY)).withColumn("value", F.col("raw"))
+    dirty = t("lineitem").selectExpr(*columns(DIRTY_QUANTITY)).withColumn("value", F.col("raw"))
     return parse.parse_ints(dirty, ["value", "absent"]).withColumn("fractional", parse.is_fractional(F.col("raw")))
 
 
@@ -177,7 +180,7 @@ DUCK_BOOL = """CASE WHEN lower(trim(raw)) IN ('true', '1', 'si', 'sí', 'y', 't'
         FROM (SELECT {select_list(DIRTY_FLAG)} FROM lineitem)""",
 )
 def parse_bool(t: Tables) -> DataFrame:
-    dirty = t.spread("lineitem").selectExpr(*columns(DIRTY_FLAG)).withColumn("value", F.col("raw"))
+    dirty = t("lineitem").selectExpr(*columns(DIRTY_FLAG)).withColumn("value", F.col("raw"))
     parsed = parse.parse_bools(dirty, ["value"])
     return parsed.withColumn("filled", parse.bool_or_default(F.col("value"), True))
 
@@ -185,9 +188,10 @@ def parse_bool(t: Tables) -> DataFrame:
 _D = "lpad(cast(day(o_orderdate) as string), 2, '0')"
 _M = "lpad(cast(month(o_orderdate) as string), 2, '0')"
 _Y = "cast(year(o_orderdate) as string)"
+_MON = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(3 * month(o_orderdate) - 2 as int), 3)"
 DIRTY_DATE = {
     "o_orderkey": "o_orderkey",
-    "raw": f"""CASE o_orderkey % 9 WHEN 0 THEN {_Y} || '-' || {_M} || '-' || {_D}
+    "raw": f"""CASE (o_orderkey + o_custkey) % 16 WHEN 0 THEN {_Y} || '-' || {_M} || '-' || {_D}
         WHEN 1 THEN {_D} || '/' || {_M} || '/' || {_Y}
         WHEN 2 THEN cast(day(o_orderdate) as string) || '-' || cast(month(o_orderdate) as string) || '-' || {_Y}
         WHEN 3 THEN {_D} || '.' || {_M} || '.' || {_Y} || ' 10:20'
@@ -195,17 +199,30 @@ DIRTY_DATE = {
         WHEN 5 THEN '31/' || {_M} || '/' || {_Y}
         WHEN 6 THEN ' ' || {_D} || '/' || {_M} || '/' || {_Y} || ' 1:02:03 '
         WHEN 7 THEN {_D} || '/' || {_M} || '/' || substr({_Y}, 3, 2)
+        WHEN 8 THEN {_Y} || {_M} || {_D}
+        WHEN 9 THEN {_D} || '-' || {_MON} || '-' || {_Y}
+        WHEN 10 THEN {_Y} || '/' || {_M} || '/' || {_D}
+        WHEN 11 THEN {_Y} || '-' || cast(month(o_orderdate) as string) || '-' || cast(day(o_orderdate) as string)
+        WHEN 12 THEN {_Y} || '-' || {_M} || '-' || {_D} || 'T10:20:30+02:00'
+        WHEN 13 THEN {_M} || '/' || '2' || cast(day(o_orderdate) % 9 as string) || '/' || {_Y}
+        WHEN 14 THEN {_D} || ' Foo ' || {_Y}
         ELSE 'pending' END""",
 }
 DUCK_FORMATS = (
     "%Y-%m-%d", "%Y-%m-%dT%H:%M:%S", "%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y %H:%M", "%d/%m/%Y %H:%M:%S",
+    "%d-%b-%Y", "%Y/%m/%d",
 )
 
 
 def duck_date(c: str) -> str:
     formats = ", ".join(f"try_strptime(trim({c}), '{f}')" for f in DUCK_FORMATS)
-    short = f"CASE WHEN regexp_matches(trim({c}), '^[0-9]+/[0-9]+/[0-9]{{2}}$') THEN try_strptime(trim({c}), '%d/%m/%y')"
-    return f"{short} ELSE coalesce({formats}) END"
+    short = f"CASE WHEN regexp_matches(trim({c}), '^[0-9]{{1,2}}/[0-9]+/[0-9]{{2}}$') THEN try_strptime(trim({c}), '%d/%m/%y')"
+    compact = f"WHEN regexp_matches({c}, '^[0-9]{{8}}$') THEN try_strptime({c}, '%Y%m%d')"
+    zoned = f"WHEN {c} LIKE '%+02:00' THEN try_strptime(left({c}, 19), '%Y-%m-%dT%H:%M:%S') - INTERVAL 2 HOUR"
+    # the middle number is no month: the only reading is month first
+    swapped = f"""WHEN regexp_matches(trim({c}), '^[0-9]{{2}}/(1[3-9]|[23][0-9])/[0-9]{{4}}$') AND substr(trim({c}), 1, 2) <= '12'
+        THEN try_strptime(trim({c}), '%m/%d/%Y')"""
+    return f"{short} {compact} {zoned} {swapped} ELSE coalesce({formats}) END"
 
 
 @query(
@@ -214,7 +231,7 @@ def duck_date(c: str) -> str:
         FROM (SELECT {select_list(DIRTY_DATE)} FROM orders)""",
 )
 def parse_dates(t: Tables) -> DataFrame:
-    dirty = t.spread("orders").selectExpr(*columns(DIRTY_DATE)).withColumn("value", F.col("raw"))
+    dirty = t("orders").selectExpr(*columns(DIRTY_DATE)).withColumn("value", F.col("raw"))
     return parse.parse_dates(dirty, ["value"]).withColumn("value", F.date_format("value", STAMP))
 
 

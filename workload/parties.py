@@ -22,7 +22,9 @@ SOURCES = {
         "customer",
         {
             "id": "CASE WHEN c_custkey % 997 <> 5 THEN c_custkey END",
-            "ordinal": "c_custkey",
+            # sheets are read from the last customer to the first: their order is not that of the ids
+            "ordinal": "900000000 - c_custkey",
+            "apellido": "'sin uso'",
             "nombre": """CASE WHEN c_custkey % 11 = 0 OR c_custkey % 13 = 0 THEN NULL
                 WHEN c_custkey % 3 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN ' Casa  Central' ELSE 'CASA CENTRAL ' END
                 ELSE 'Cliente ' || cast(c_custkey % 500 as string) END""",
@@ -86,7 +88,7 @@ def source_tables(t: Tables) -> dict[str, DataFrame]:
 def _duck_source(source: str, rank: int) -> str:
     table, exprs = SOURCES[source]
     name = "nombre"
-    if "apellido" in exprs:
+    if source == "trabajadores":  # last names elsewhere say nothing
         name = "nullif(trim(coalesce(trim(nombre), '') || ' ' || coalesce(trim(apellido), '')), '')"
 
     def opt(c: str, default: str) -> str:

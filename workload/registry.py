@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.session import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -14,24 +16,13 @@ class Tables:
     """The given tables of one scale."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
+        ship(spark)  # queries may run functions of the package in Python workers
         self.spark = spark
         self.folder = folder
 
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for per-row work, spread over the cores if it is one single file.
-
-        A small file with one row group is read by one task.  Tables of many files come as they
-        are, so this adds no shuffle to data of any size.
-        """
-        df = self(name)
-        if len(df.inputFiles()) > 1:
-            return df
-        # round robin, not by a key: no key can make one of the parts heavy
-        return df.repartition(self.spark.sparkContext.defaultParallelism)
-
 
 def query(name: str, sql: str | None = None):
     """Register a function of `Tables` as a query, with SQL for the same result."""

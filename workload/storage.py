@@ -23,24 +23,30 @@ from tablewright.sources.workbooks import parse_workbooks, sheet_table
 
 from .registry import Tables, query
 
-_SUMS = """SELECT '{0}' AS "table", count(*) AS n, count({1}) AS values, CAST(sum(length({1})) AS BIGINT) AS chars
-    FROM (SELECT CAST({1} AS VARCHAR) AS {1} FROM {0})"""
-_CSV = {"customer": "c_name", "orders": "o_orderpriority", "documents": "lang"}
+_CSV = {
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+    "documents": ("doc_id", "text", "lang", "source"),
+}
 
 
-@query("string_source", " UNION ALL ".join(_SUMS.format(n, c) for n, c in _CSV.items()))
+def _hashed(columns: tuple[str, ...]) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+
+
+@query("string_source", " UNION ALL ".join(f"""SELECT '{n}' AS "table", md5({_hashed(c)}) AS row_hash FROM {n}""" for n, c in _CSV.items()))
 def string_source(t: Tables) -> DataFrame:
-    """Tables written as delimited text and extracted again, without the hidden and excluded ones."""
+    """Tables written as delimited text and extracted again, without the hidden and excluded ones; whole rows."""
     folder = scratch_path(t.spark, "text")
-    for name in (*_CSV, "region"):
-        t(name).select([F.col(c).cast("string") for c in t(name).columns]).write.csv(
-            f"{folder}/{name}", header=True, escape='"'
-        )
+    for name, columns in {**_CSV, "region": ("r_regionkey", "r_name")}.items():
+        t(name).select([F.col(c).cast("string") for c in columns]).write.csv(f"{folder}/{name}", header=True, escape='"')
     found = extract(t.spark, folder, exclude=["region"], multiLine="true", escape='"')
     return union_aligned(
         [
-            df.agg(F.count(F.lit(1)).alias("n"), F.count(_CSV[name]).alias("values"), F.sum(F.length(_CSV[name])).alias("chars"))
-            .select(F.lit(name).alias("table"), "n", "values", "chars")
+            df.select(
+                F.lit(name).alias("table"),
+                F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in _CSV[name]])).alias("row_hash"),
+            )
             for name, df in found.items()
         ]
     )
@@ -48,11 +54,13 @@ def string_source(t: Tables) -> DataFrame:
 
 @query(
     "typed_as_text",
-    """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier""",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CAST(s_nationkey AS VARCHAR) AS parent FROM supplier
+       UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR) FROM nation""",
 )
 def typed_as_text(t: Tables) -> DataFrame:
-    given = {" _hidden": t("region"), "supplier": t("supplier").drop("s_acctbal"), "log": t("nation")}
-    return extract_tables(given, exclude=["log"])["supplier"]
+    given = {" _hidden": t("region"), "supplier": t("supplier").drop("s_acctbal"), "nation": t("nation"), "log": t("region")}
+    found = extract_tables(given, exclude=["log"])
+    return union_aligned([found[n].toDF("id", "name", "parent") for n in ("supplier", "nation")])
 
 
 CUSTOMERS = Target(
@@ -132,19 +140,23 @@ def _to_workbooks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One workbook per batch of rows (Arrow batches are of bounded size)."""
     for number, frame in enumerate(batches):
         rows = frame.astype(object).where(frame.notna(), None).values.tolist()
-        content = workbook_bytes({"PROVEEDORES": [list(frame.columns), *rows], "_notas": [["x"]], "LOG": [["id"], ["1"]]})
+        # a repeated header, a missing one, and a last cell beyond the header
+        sheet = [["id", "nombre", "nombre", None], *[[r[0], r[1], f"n{r[0]}", "-", f"x{r[0]}"] for r in rows]]
+        content = workbook_bytes({"PROVEEDORES": sheet, "_notas": [["x"]], "LOG": [["id"], ["1"]]})
         yield pd.DataFrame({"path": [f"{number}-{rows[0][0] if rows else 'none'}.xlsx"], "content": [content]})
 
 
 @query(
     "workbooks",
-    "SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS nombre FROM supplier",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS nombre,
+              'n' || s_suppkey AS second_name, '-' AS unnamed, 'x' || s_suppkey AS beyond FROM supplier""",
 )
 def workbooks(t: Tables) -> DataFrame:
-    """Suppliers packed into workbooks and read back; missing-value words come back as NULL."""
+    """Suppliers packed into workbook files and read back; missing-value words come back as NULL."""
     rows = t("supplier").selectExpr(
         "cast(s_suppkey as string) AS id", "CASE s_suppkey % 10 WHEN 0 THEN 'N/A' WHEN 5 THEN NULL ELSE s_name END AS nombre"
     )
     files = rows.mapInPandas(_to_workbooks, "path string, content binary")
     cells = parse_workbooks(files, exclude=["LOG"])
-    return sheet_table(cells, "PROVEEDORES", ["id", "nombre"]).select("id", "nombre")
+    table = sheet_table(cells, "PROVEEDORES", ["id", "nombre", "nombre.1", "Unnamed: 3", "Unnamed: 4"])
+    return table.toDF("_ord", "id", "nombre", "second_name", "unnamed", "beyond").drop("_ord")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators import project
 from tablewright.operators.assets import split_assets
-from tablewright.sources.sinks import Target, align, count_report
+from tablewright.sources.sinks import Target, align, count_report, overflows
 from tablewright.sources.tables import read_scalar, read_sql, read_table, table_exists
 
 from .registry import STAMP, Tables, query, shifted
@@ -36,7 +36,7 @@ LINE_TARGET = Target(
 
 @query(
     "rename_align",
-    """SELECT l_orderkey AS id, CAST(CAST(l_quantity AS DECIMAL(12,3)) AS VARCHAR) AS kg,
+    """SELECT l_orderkey AS id, CASE WHEN l_partkey % 7 <> 0 THEN CAST(CAST(l_quantity AS DECIMAL(12,3)) AS VARCHAR) END AS kg,
               CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS VARCHAR) AS precio_total,
               CAST(CAST(l_tax AS DECIMAL(14,6)) AS VARCHAR) AS tasa, strftime(l_shipdate, '%Y-%m-%d') AS fecha,
               CASE WHEN l_partkey % 5 <> 0 THEN l_linenumber END AS linea, true AS is_active,
@@ -45,7 +45,7 @@ LINE_TARGET = Target(
 def rename_align(t: Tables) -> DataFrame:
     lines = t("lineitem").select(
         "l_orderkey",
-        "l_quantity",
+        F.expr("CASE WHEN l_partkey % 7 = 0 THEN double('NaN') ELSE l_quantity END").alias("l_quantity"),
         F.col("l_tax").alias(" tasa "),
         "l_extendedprice",
         "l_shipdate",
@@ -58,6 +58,24 @@ def rename_align(t: Tables) -> DataFrame:
     return aligned.withColumns({c: F.col(c).cast("string") for c in ("kg", "precio_total", "tasa", "fecha")})
 
 
+@query(
+    "sink_overflow",
+    """SELECT 'line_items' AS "table", 'fits_linea' AS rule, 'linea' AS "column", CAST(l_orderkey AS VARCHAR) AS key,
+              CAST(3000000000 + l_linenumber AS VARCHAR) AS value FROM lineitem WHERE l_partkey % 5 = 0
+       UNION ALL
+       SELECT 'line_items', 'fits_kg', 'kg', CAST(l_orderkey AS VARCHAR), CAST(1000000000000000 + l_linenumber AS VARCHAR)
+       FROM lineitem WHERE l_partkey % 7 = 0""",
+)
+def sink_overflow(t: Tables) -> DataFrame:
+    """Values too large for their target column: ids above 2**31 in an int, amounts beyond the decimal."""
+    lines = t("lineitem").selectExpr(
+        "l_orderkey AS id",
+        "CASE WHEN l_partkey % 5 = 0 THEN 3000000000 + l_linenumber ELSE l_linenumber END AS linea",
+        "CASE WHEN l_partkey % 7 = 0 THEN 1000000000000000 + l_linenumber ELSE cast(l_quantity AS bigint) END AS kg",
+    )
+    return overflows(lines, LINE_TARGET, "id").drop("message")
+
+
 @query("drop_empty", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def drop_empty(t: Tables) -> DataFrame:
     padded = t("supplier").select(
@@ -83,9 +101,10 @@ FIXED = datetime.datetime(2024, 1, 2, 3, 4, 5)
 )
 def audit_columns(t: Tables) -> DataFrame:
     orders = t("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("updated_at"))
-    done = project.add_audit_columns(
-        orders, created_at=FIXED, updated_at=FIXED, deleted_by_user_id=F.col("o_custkey"), ingest_event_id=7
-    ).drop("o_custkey")
+    values = {
+        "created_at": FIXED, "updated_at": FIXED, "deleted_at": None, "deleted_by_user_id": F.col("o_custkey"), "ingest_event_id": 7,
+    }
+    done = project.audited(orders, values).drop("o_custkey")
     return done.withColumns({c: F.date_format(c, STAMP) for c in ("created_at", "updated_at", "deleted_at")})
 
 
