@@ -15,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tablewright.session import session  # noqa: E402
+from tablewright.session import remove_scratch, session  # noqa: E402
 from workload import QUERIES  # noqa: E402
 
 HEADLINE = (
@@ -64,6 +64,7 @@ def main() -> None:
             }
         )
     )
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -78,8 +78,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/tablewright-{label}-{uuid.uuid4().hex}"
+    """A new, never reused path in the folder of this application, below the shared one."""
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tablewright-{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has materialized; call it when no frame is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:

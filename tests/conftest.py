@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tablewright.session import session  # noqa: E402
+from tablewright.session import remove_scratch, session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +17,7 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    remove_scratch(s)
     s.stop()
 
 

@@ -24,7 +24,8 @@ def test_text_folder(spark, text_frame, tmp_path):
     (root / "single.csv").write_text("id,x\n1,2.50\n")
     found = extract(spark, str(root), exclude=["LOG"])
     assert sorted(found) == ["CLIENTES", "single"]
-    assert dict(found["single"].dtypes) == {"id": "string", "x": "string"}
+    assert {c: k for c, k in found["single"].dtypes if c != "_ord"} == {"id": "string", "x": "string"}
+    assert "_ord" not in extract(spark, str(root), ordered=False)["single"].columns
     assert found["single"].first()["x"] == "2.50" and found["CLIENTES"].where("id = '001'").count() == 1
     assert select_tables(["a", " _b", "_c", "d"], ["d"]) == ["a"]
 
@@ -82,7 +83,8 @@ def test_load_modes(spark, text_frame):
     assert (result.tables_loaded, result.rows_loaded) == (2, 3)
     assert not any("dim_type_assets" in w for w in result.warnings) and any("'pedidos'" in w for w in result.warnings)
     loaded = spark.table("t_core.dim_expense_types")
-    assert loaded.where("is_active").count() == 2 and dict(loaded.dtypes)["id"] == "int"
+    assert loaded.where("is_active").count() == 2 and dict(loaded.dtypes)["id"] == "bigint"
+    assert any("['extra']" in w for w in result.warnings) and result.lost_values == {}
     again = sinks.load(spark, frames, targets, areas, sinks.TRUNCATE, where)
     assert again.rows_loaded == 3 and spark.table("t_core.dim_expense_types").count() == 2
     sinks.append(spark, frames["dim_tipos_egreso"], "t_core", model.TARGETS["dim_expense_types"])
@@ -103,7 +105,7 @@ def test_prepare_hook_and_report(spark):
     target = Target("h", T.StructType([T.StructField("id", T.LongType())]), prepare=lambda d: d.where("id > 1"))
     areas = {"core": "t_hook"}
     sinks.reset(spark, [target], areas, location=scratch_path(spark, "test-hook"))
-    assert sinks.append(spark, spark.range(5), "t_hook", target) == 3
+    assert sinks.append(spark, spark.range(5), "t_hook", target).rows == 3
     report = {r["table"]: r["rows"] for r in sinks.count_report({"a": spark.range(3), "b": spark.range(0)}).collect()}
     assert report == {"a": 3, "b": 0, "total": 3}
     sinks.drop_database(spark, "t_hook")
@@ -138,11 +140,32 @@ def test_workbooks(spark, tmp_path):
     _workbook(tmp_path / "a.xlsx", head + body)
     _workbook(tmp_path / "b.xlsx", head, sheets=("CLIENTES",))
     cells = read_workbooks(spark, str(tmp_path), exclude=["LOG"])
-    assert sheet_columns(cells, "CLIENTES") == ["fecha", "id", "nombre"]
+    assert sheet_columns(cells, "CLIENTES") == ["Unnamed: 2", "fecha", "id", "nombre"]
     table = sheet_table(cells, "CLIENTES", ["id", "nombre", "fecha"])
     got = [tuple(r)[1:] for r in table.orderBy("_ord").collect()]
     assert got == [("1", "Ana", "2024-03-05 00:00:00"), ("2.5", None, "2024-03-05 12:00:00"), ("True", None, None)]
     assert list(workbook_tables(cells)) == ["CLIENTES"]
     empty = sheet_table(cells.where(F.col("path").endswith("b.xlsx")), "CLIENTES")
-    assert empty.columns == ["_ord", "fecha", "id", "nombre"] and empty.count() == 0
+    assert empty.columns == ["_ord", "Unnamed: 2", "fecha", "id", "nombre"] and empty.count() == 0
     assert dt.datetime.fromisoformat(got[0][2]) == dt.datetime(2024, 3, 5)
+
+
+def test_workbook_columns_are_all_kept(spark, tmp_path):
+    cell = lambda at, v: f'<c r="{at}" t="str"><v>{v}</v></c>'
+    head = "<row>" + cell("A1", "a") + cell("B1", "a") + cell("C1", "b") + "</row>"
+    body = "<row>" + "".join(cell(f"{c}2", i) for i, c in enumerate("ABCD", 1)) + "</row>"
+    _workbook(tmp_path / "w.xlsx", head + body, sheets=("S",))
+    table = sheet_table(read_workbooks(spark, str(tmp_path)), "S")
+    assert table.drop("_ord").first().asDict() == {"Unnamed: 3": "4", "a": "1", "a.1": "2", "b": "3"}
+
+
+def test_values_that_do_not_fit(spark):
+    target = Target("f", T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("kg", T.DecimalType(12, 3))]))
+    sinks.reset(spark, [target], {"core": "t_fit"}, location=scratch_path(spark, "test-fit"))
+    rows = spark.createDataFrame([(1, 3_000_000_000, 1e15), (2, 5, 2.5), (3, None, None), (3_000_000_000, 7, 1.0)], "id long, n long, kg double")
+    result = sinks.load(spark, {"f": rows}, [target], {"core": "t_fit"}, location=scratch_path(spark, "test-fit"))
+    assert result.lost_values == {"core.f.n": 1, "core.f.kg": 1} and len(result.warnings) == 2
+    assert sorted(r["id"] for r in spark.table("t_fit.f").collect()) == [1, 2, 3, 3_000_000_000]
+    with pytest.raises(Exception, match="does not fit"):
+        sinks.append(spark, rows, "t_fit", target, strict=True)
+    sinks.drop_database(spark, "t_fit")

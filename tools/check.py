@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-from tablewright.session import session  # noqa: E402
+from tablewright.session import remove_scratch, session  # noqa: E402
 from workload import ORACLES, QUERIES  # noqa: E402
 
 TABLES = (
@@ -75,6 +75,7 @@ def main() -> int:
             extra = [r for r in got if r not in there][:5]
             lost = [r for r in expected if r not in here][:5]
             print("  only in Spark ", extra, "\n  only in oracle", lost, len(expected))
+    remove_scratch(spark)
     print("bad:", bad)
     return 1 if bad else 0
 
