@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship
 from . import html_text, jaccard, language, mixing, neighbors, packing, pii, quality, substrings, toxicity
+from .oracles import ORACLES
 
+__all__ = ["QUERIES", "ORACLES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(name: str, table: str = "documents"):
@@ -92,6 +93,3 @@ def _op10(docs: DataFrame, folder: str) -> DataFrame:
     sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
     queue = mixing.served(materialize(sized, "sizes"))
     return queue.drop("source").orderBy("virtual_finish", "doc_id")
-
-
-ORACLES["op10_mix_sources"] = mixing.SQL
