@@ -475,3 +475,21 @@ def test_empty_tables(spark, tokenizer):
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
     assert neighbors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_rows_without_an_id(spark, tokenizer):
+    text = " ".join(vocabulary(12, 60))
+    frame = spark.createDataFrame([(None, text, None, None, None), (1, text, "en", "a", 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(None, 1), (1, None), (2, 1)], "doc_id long, toxic int")
+    ids = [None, 1]
+    key = lambda r: r[0] is not None
+    assert sorted(r.doc_id for r in quality.judged(frame).collect() if key(r)) == [1] and quality.keep_good(frame).count() == 2
+    for df in (pii.report(frame), packing.pack(packing.pieces(frame, tokenizer)), language.identify(frame, language.train(language.labelled_windows(frame))),
+               toxicity.score(frame, toxicity.fit(frame, labels)), substrings.without_repeats(frame), jaccard.similar_groups(frame),
+               mixing.served(frame.withColumn("size", mixing.word_count("text")))):
+        assert sorted([r[0] for r in df.collect()], key=str) == sorted(ids, key=str)
+    removed = {r.id: r.n_removed for r in substrings.without_repeats(frame).collect()}
+    assert removed == {None: 0, 1: 0}
+    assert [r.doc_id for r in jaccard.keep_one(frame).collect()] == [1]
+    vectors = spark.createDataFrame([(None, [1.0, 2.0]), (4, [1.0, 2.0])], "vec_id long, embedding array<float>")
+    assert {(r.id, r.n_links, r.component) for r in neighbors.near_duplicates(vectors).collect()} == {(None, 0, None), (4, 0, 4)}
