@@ -106,12 +106,17 @@ def _part(turn):
     return F.greatest(F.lit(0), F.least(F.col("size"), left))
 
 
-def mix(served_rows: DataFrame, epochs: int = EPOCHS) -> DataFrame:
-    """The mix itself: a row per turn with the words it gives (`words`), in the order of service."""
+def mix(served_rows: DataFrame, epochs: int = EPOCHS, sort: bool = True) -> DataFrame:
+    """The mix itself: a row per turn with the words it gives (`words`), in the order of service.
+
+    Without `sort` the caller orders by `virtual_finish`, say after adding texts.
+    """
     turns = served_rows.withColumn("turn", F.explode(F.array(*map(F.lit, range(epochs)))))
     turns = turns.withColumn("words", _part(F.col("turn")).cast("long")).where("words > 0")
     finish = (F.col("before") + F.col("size") + F.col("source_size") * F.col("turn")) / F.col("target")
     turns = turns.withColumn("virtual_finish", F.least(finish, F.lit(1.0)))
+    if not sort:
+        return turns
     return turns.orderBy("virtual_finish", F.col("source").asc_nulls_last(), "turn", "before")
 
 
