@@ -36,7 +36,7 @@ from .words import slices
 
 CAPACITY = 4096
 END_ID = 1
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 # pieces into which the tokenizer splits; only used where letters and marks are beyond doubt
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zµß-öø-ÿ]+|[0-9]|[^\sa-z0-9µß-öø-ÿ]+")
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
@@ -48,34 +48,51 @@ class WordIds(dict):
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
         self.pieces: dict[str, bytes] = {}
+        self.passing: list[bytes] = []  # known for the slice at hand only
+        self.passing_pieces: list[str] = []
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def learn(self, words: list[bytes]) -> None:
-        """Make sure that all these words are known; forget the others when there are too many."""
-        for cache in (self, self.pieces):
-            if len(cache) > REMEMBERED:
-                cache.clear()
+        """Make sure that all these words are known until the next call; the first ones stay for good."""
+        for cache, passing in ((self, self.passing), (self.pieces, self.passing_pieces)):
+            for key in passing:
+                del cache[key]
+            passing.clear()
         split: dict[bytes, list[str]] = {}
-        for word in set(words).difference(self):
+        new = set(words).difference(self)
+        for word in new:
             text = word.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(text) and "<|" not in text:
+            # most words are letters, or letters and one mark: no pattern needed
+            if text.isalpha() and max(text) <= "ÿ":
+                split[word] = [text.lower()]
+            elif text[-1] in ".,;:!?" and (stem := text[:-1]).isalpha() and max(stem) <= "ÿ":
+                split[word] = [stem.lower(), text[-1]]
+            elif _PLAIN.fullmatch(text) and "<|" not in text:
                 split[word] = _PIECES.findall(text.lower())
             else:
                 self[word] = self._encode(text)
-        self._learn_pieces(list({p for parts in split.values() for p in parts}.difference(self.pieces)))
+        pieces = list({p for parts in split.values() for p in parts}.difference(self.pieces))
+        self._learn_pieces(pieces)
+        if len(self.pieces) > REMEMBERED:
+            self.passing_pieces.extend(pieces)
         known = self.pieces
         for word, parts in split.items():
             self[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+        if len(self) > REMEMBERED:
+            self.passing.extend(new)
 
     def _learn_pieces(self, pieces: list[str]) -> None:
         """One call for all pieces: with blanks between them, each is a word of its own to the tokenizer."""
         if not pieces:
             return
-        found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        word = np.array(found.word_ids)
-        ids = np.array(found.ids, "<u4").tobytes()
-        cut = np.searchsorted(word, np.arange(len(pieces) + 1)) * 4
-        if len(word) and word[-1] == len(pieces) - 1 and (np.diff(cut) > 0).all() and (np.diff(word) >= 0).all():
-            self.pieces.update((p, ids[a:b]) for p, a, b in zip(pieces, cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        cut = np.append(0, np.flatnonzero(self.ends[ids]) + 1) * 4  # each piece ends with a token that ends words
+        raw = ids.tobytes()
+        if len(cut) == len(pieces) + 1 and cut[-1] == len(raw):
+            cut = cut.tolist()
+            self.pieces.update((p, raw[a:b]) for p, a, b in zip(pieces, cut[:-1], cut[1:], strict=True))
         else:
             self.pieces.update((p, self._encode(p)) for p in pieces)
 
