@@ -14,6 +14,9 @@ most documents share is no single task.  Tokenizing remembers words: the tokeniz
 and never joins across it, so a text's ids are those of its words, and a word seen before costs a
 dictionary lookup.  The memory is bounded by about `REMEMBERED` words per worker.
 
+Where token ids are asked for, they are written once (`squeeze`), with a number for each piece; only narrow
+rows are planned and numbered, and the ids meet their places in one join at the end.
+
 Null texts are empty; an empty text is the end id alone.  Repeated rows are packed each.  An empty table
 gives an empty result.
 """
@@ -37,6 +40,7 @@ from .words import slices
 CAPACITY = 4096
 END_ID = 1
 REMEMBERED = 300_000
+UNPACKED = 256  # pieces whose ids are unpacked at once
 # pieces into which the tokenizer splits; only used where letters and marks are beyond doubt
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zµß-öø-ÿ]+|[0-9]|[^\sa-z0-9µß-öø-ÿ]+")
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
@@ -112,9 +116,20 @@ def word_ids(path: str) -> WordIds:
     return _loaded[path]
 
 
+def squeeze(ids: bytes) -> bytes:
+    """Little-endian 32-bit ids, all first bytes first, then all second ones and so on, compressed."""
+    return pa.Codec("zstd").compress(np.frombuffer(ids, np.uint8).reshape(-1, 4).T.tobytes(), asbytes=True)
+
+
+def unsqueeze(data: bytes, length: int) -> np.ndarray:
+    raw = pa.Codec("zstd").decompress(data, 4 * length, asbytes=True)
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
 def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False,
            capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of all documents: `doc_id, piece, start, length, ids_crc32`, and the `ids` on request."""
+    """Pieces of all documents: `doc_id, piece, start, length, ids_crc32`, and on request the squeezed `ids`
+    (`pack` gives them as an array)."""
     end = np.array([end_id], "<u4").tobytes()
 
     def tokenize(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -136,11 +151,11 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
                     if keep_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int32))
+                        ids.append(squeeze(part))
             out = {"doc_id": keys.slice(lo, hi - lo).take(pa.array(row)), "piece": piece, "start": start, "length": length, "ids_crc32": crc}
             yield out | ({"ids": ids} if keep_ids else {})
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     return arrow_stage(docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")), schema, tokenize)
 
 
@@ -226,7 +241,11 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """`parts` (with `doc_id, piece, length`) and the `sequence_id` and `offset` of each."""
+    """`parts` (with `doc_id, piece, start, length`, and perhaps `ids`) and the `sequence_id` and `offset` of each."""
+    names = parts.columns
+    carried = "ids" in names
+    if carried:  # a number that the written rows keep
+        parts = parts.withColumn("__row", F.monotonically_increasing_id())
     parts = materialize(parts, "pieces")
     histogram = parts.groupBy("length").count().collect()  # at most `capacity` rows
     counts = np.zeros(capacity + 1, np.int64)
@@ -235,8 +254,12 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     where = places(plan(counts))
     before = np.concatenate([[0], np.cumsum(counts)])  # pieces of smaller lengths
     shared = parts.sparkSession.sparkContext.broadcast((where, before))  # a few rows per length
-    numbered = dense_ids(parts, ["length", "doc_id", "piece", "start"], "number")
-    names = parts.columns
+    order = ["length", "doc_id", "piece", "start"]
+    if carried:
+        numbered = dense_ids(parts.select(*order, "__row"), order, "number").select("number", "__row")
+        numbered = parts.join(numbered, "__row").select("number", *[f"`{c}`" for c in names])
+    else:
+        numbered = dense_ids(parts, order, "number")
 
     def place(batch: pa.RecordBatch) -> Iterator[dict]:
         rows, first = shared.value
@@ -245,7 +268,17 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         number = columns["number"].to_numpy(zero_copy_only=False) - 1 - first[length]
         # one sortable value for (length, number): numbers stay below 2**48
         at = np.searchsorted((rows[:, 0] << 48) + rows[:, 1], (length << 48) + number, "right") - 1
-        yield {c: columns[c] for c in names} | {"sequence_id": rows[at, 2] + number - rows[at, 1], "offset": rows[at, 3]}
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
+        sequence, offset = rows[at, 2] + number - rows[at, 1], rows[at, 3]
+        # ids grow when they are unpacked: a few rows at a time
+        step = UNPACKED if carried else max(1, len(batch))
+        for lo in range(0, len(batch), step):
+            part = {c: columns[c].slice(lo, step) for c in names}
+            if carried:
+                found = [unsqueeze(x, n) for x, n in zip(part["ids"].to_pylist(), length[lo : lo + step].tolist(), strict=True)]
+                cut = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                part["ids"] = pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(found)))
+            yield part | {"sequence_id": sequence[lo : lo + step], "offset": offset[lo : lo + step]}
+
+    kinds = [(f.name, "array<int>" if carried and f.name == "ids" else f.dataType.simpleString()) for f in parts.schema.fields]
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in kinds if name in names)
     return arrow_stage(numbered, ddl + ", sequence_id long, offset long", place)

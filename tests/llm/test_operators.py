@@ -253,6 +253,26 @@ def test_packing(spark, texts, tokenizer):
     assert len(by) == -(-sum(e[3] for e in expected) // 4096)
 
 
+def test_packing_carries_the_ids(spark, texts, tokenizer):
+    """Each piece of the pipeline's last stage holds its own ids, also where one id names several texts."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    whole, expected = Tokenizer.from_file(tokenizer), []
+    many = [*texts, *texts[-9:], " ".join(vocabulary(8, 5000))]
+    ids_of = lambda t: [*whole.encode(t or "", add_special_tokens=False).ids, 1]
+    frame = docs(spark, many).selectExpr("nullif(doc_id % 7, 3) doc_id", "text", "lang", "source", "n_chars")
+    for i, t in enumerate(many):
+        ids = ids_of(t)
+        expected += [(str(None if i % 7 == 3 else i % 7), n, s, ids[s : s + 4096]) for n, s in enumerate(range(0, len(ids), 4096))]
+    rows = corpus_pipeline.packed(spark, frame, "").collect()
+    assert sorted((str(r.doc_id), r.piece, r.start, r.ids) for r in rows) == sorted(expected)
+    for r in rows:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    used = sorted((r.sequence_id, r.offset, r.length) for r in rows)
+    assert all(a[0] < b[0] and b[1] == 0 or a[0] == b[0] and a[1] + a[2] == b[1] for a, b in zip(used[:-1], used[1:], strict=True))
+
+
 def test_plan_fills_exactly():
     rnd = random.Random(4)
     for _ in range(200):
