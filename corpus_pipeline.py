@@ -27,7 +27,7 @@ def good(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near duplicates."""
+    """One document, the one with the least id, of each group of near duplicates; all that have none."""
     ship(spark)
     return jaccard.keep_one(docs.select(*COLUMNS))
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import words as W
 from .components import components
-from .frames import arrow_stage
+from .frames import arrow_stage, free_name
 
 SHINGLE = 5
 THRESHOLD = 80  # percent
@@ -81,19 +81,20 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
 
 
-def profile(docs: DataFrame, key: str, text: str) -> DataFrame:
+def profile(docs: DataFrame, key: str, text: str, marks: tuple[str, ...] = ()) -> DataFrame:
     """One scan, two kinds of rows: `id, n, f1, f2` of each document, and `token, uses` of shingles that
-    several documents of a block of the scan have."""
+    several documents of a block of the scan have.  `marks` are long columns that documents keep."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         block, size, seen = [], 0, set()
         for batch in batches:
-            keys, texts = batch.columns
+            keys, texts, *kept = batch.columns
             for lo, hi, t in W.slices(texts):
                 sets = shingle_sets(t)
                 f1, f2 = fingerprints(sets)
                 none = pa.nulls(hi - lo, pa.int64())
-                yield {"id": keys.slice(lo, hi - lo), "n": [len(s) for s in sets], "f1": W.signed(f1), "f2": W.signed(f2), "token": none, "uses": none}
+                own = {c: v.slice(lo, hi - lo) for c, v in zip(marks, kept, strict=True)}
+                yield {"id": keys.slice(lo, hi - lo), "n": [len(s) for s in sets], "f1": W.signed(f1), "f2": W.signed(f2), "token": none, "uses": none} | own
                 for s, f in zip(sets, f1.tolist(), strict=True):
                     if f not in seen:  # copies do not make a shingle frequent
                         seen.add(f)
@@ -109,9 +110,11 @@ def profile(docs: DataFrame, key: str, text: str) -> DataFrame:
             tokens, uses = np.unique(np.concatenate(block), return_counts=True)
             tokens, uses = tokens[uses > 1], uses[uses > 1]
             none = pa.nulls(len(tokens), pa.int64())
-            yield {"id": none, "n": none, "f1": none, "f2": none, "token": W.signed(tokens), "uses": uses}
+            yield {"id": none, "n": none, "f1": none, "f2": none, "token": W.signed(tokens), "uses": uses} | dict.fromkeys(marks, none)
 
-    return arrow_stage(_keyed(docs, key, text), "id long, n long, f1 long, f2 long, token long, uses long", scan, whole=True)
+    columns = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), *marks)
+    schema = "id long, n long, f1 long, f2 long, token long, uses long" + "".join(f", `{c}` long" for c in marks)
+    return arrow_stage(columns, schema, scan, whole=True)
 
 
 def frequent_shingles(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -365,11 +368,15 @@ def block_links(rows: DataFrame) -> DataFrame:
     return arrow_stage(rows, "grp long, a1 long, a2 long, b1 long, b2 long", scan, whole=True)
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`id, n, component` of every row: set size, and the least id reachable by links."""
-    profiles = materialize(profile(docs, key, text), "profiles")
-    rows = profiles.where("n is not null").select("id", "n", "f1", "f2")
-    classes = rows.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("least"), F.max("n").alias("n"))
+def _placed(docs: DataFrame, key: str, text: str, marks: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """`id, n, f1, f2` and `marks` of every row, and the `root` of each pair of fingerprints with the least id
+    (`least`) and the least row (`first`: id, nulls last, and marks) that has them."""
+    profiles = materialize(profile(docs, key, text, marks), "profiles")
+    rows = profiles.where("n is not null").select("id", "n", "f1", "f2", *marks)
+    least = [F.min("id").alias("least"), F.max("n").alias("n")]
+    if marks:
+        least.append(F.min(F.struct(F.isnull("id").alias("no_id"), "id", *marks)).alias("first"))
+    classes = rows.where("n > 0").groupBy("f1", "f2").agg(*least)
     classes = materialize(classes, "classes")
     edges = candidates(docs, key, text, frequent_shingles(profiles))
     groups = materialize(components(edges), "groups")  # node, root: first fingerprints
@@ -390,7 +397,12 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         roots = roots.unionByName(components(links.join(several, "grp", "left_semi").select("a", "b")))
     node = F.struct("f1", "f2")
     placed = classes.withColumn("node", node).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = materialize(placed.select("f1", "f2", "root", "least"), "placed")
+    return rows, materialize(placed.select("f1", "f2", "root", "least", *["first"] * bool(marks)), "placed")
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`id, n, component` of every row: set size, and the least id reachable by links."""
+    rows, placed = _placed(docs, key, text)
     component = placed.groupBy("root").agg(F.min("least").alias("component"))
     placed = placed.join(component, "root").select("f1", "f2", "component")
     found = rows.where("n > 0").join(placed, ["f1", "f2"]).select("id", "n", "component")
@@ -398,6 +410,24 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the least of their group, each id once; rows without an id go."""
-    kept = similar_groups(docs, key, text).where("id = component").select(F.col("id").alias(key)).distinct()
-    return docs.join(kept, key, "left_semi").select(docs.columns).dropDuplicates([key])
+    """One row of `docs` of each group of linked texts: the least by id (nulls last), then fingerprints and
+    a hash of the row.
+
+    Groups are of texts, so an id that names several may stay several times, and rows without an id are
+    kept like others.  Texts without a word link with nothing: each id keeps one, rows without an id all.
+    """
+    columns = docs.columns
+    h1, h2 = marks = free_name(docs, "__h1"), free_name(docs, "__h2")
+    # a hash skips nulls, so each column says whether it is null; maps have no hash
+    hashed = [x for f in docs.schema.fields if "map<" not in (kind := f.dataType.simpleString()) and "variant" not in kind
+              for x in (F.col(f"`{f.name}`"), F.isnull(f"`{f.name}`"))]
+    marked = docs.withColumns({h1: F.xxhash64(*hashed), h2: F.xxhash64(F.lit(1), *hashed)})
+    rows, placed = _placed(marked, key, text, marks)
+    least = placed.groupBy("root").agg(F.min(F.struct("first.no_id", "first.id", "f1", "f2", f"first.{h1}", f"first.{h2}")).alias("r"))
+    wordless = rows.where("n = 0 and id is not null").groupBy("id").agg(F.min(F.struct(h1, h2)).alias("r"))
+    names = ["__id", "__k1", "__k2"]
+    kept = least.select("r.id", f"r.{h1}", f"r.{h2}").toDF(*names).unionByName(wordless.select("id", f"r.{h1}", f"r.{h2}").toDF(*names))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("__id")) & (F.col(h1) == F.col("__k1")) & (F.col(h2) == F.col("__k2"))
+    one = marked.join(kept, same, "left_semi").dropDuplicates([key, h1, h2]).select(*[f"`{c}`" for c in columns])
+    bare = docs.where(F.isnull(f"`{key}`") & ~F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return one.unionByName(bare)

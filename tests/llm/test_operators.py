@@ -128,6 +128,17 @@ def test_jaccard_groups(spark, texts):
     assert sorted(r.doc_id for r in jaccard.keep_one(twice).collect()) == [i for i, c in enumerate(label) if i == c]
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Rows without an id, and ids that name several texts, lose nothing but duplicates."""
+    a, b, c, d = (" ".join(vocabulary(s, 40)) for s in (21, 22, 23, 24))
+    rows = [(1, a, "x"), (2, a + " more", "x"), (1, b, "x"), (3, b, "x"), (None, c, "x"), (None, c, "y"), (None, d, None), (None, None, "d"),
+            (5, c + " end", "x"), (None, "", "x"), (None, " ", "x"), (6, "", "x"), (6, "", "x"), (7, None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = sorted(((r.doc_id, r.text, r.lang) for r in jaccard.keep_one(frame).collect()), key=str)
+    kept = [(1, a, "x"), (1, b, "x"), (5, c + " end", "x"), (None, d, None), (None, None, "d"), (None, "", "x"), (None, " ", "x"), (6, "", "x"), (7, None, "x")]
+    assert got == sorted(kept, key=str)
+
+
 def test_jaccard_chains_and_large_groups(spark, monkeypatch):
     """Groups linked only through others, cut into several blocks, with frequent shingles."""
     rnd, words = random.Random(2), vocabulary(6, 900)
