@@ -5,7 +5,8 @@ not overlap one of their kind; a match that fails its check is dropped and not t
 stay whatever their score.  Further kinds (`EXTRA`) are kept when their score reaches `THRESHOLD`:
 a pattern starts with its own score, a passing checksum (mod 97 for IBANs) adds to it, and so do words
 nearby that name such data (`CONTEXT`); a failing checksum drops the match.  An extra span is not
-reported where a base span already covers it.
+reported where a base span already covers it, nor where another extra span covers all its letters and digits;
+other overlaps are reported, and masked as one.
 
 Spans count code points, end exclusive.  Null and empty texts have none.  Repeated rows are each
 searched; an empty table gives an empty result; other columns pass through `masked` unchanged.
@@ -117,12 +118,13 @@ CHECKED = {"email": 0.6, "ip": 0.6, "card": 0.9, "phone": 0.6}  # score without
 EXTRA: list[tuple[str, re.Pattern, float, Callable[[str], bool] | None]] = [
     ("iban", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])"), 0.4, lambda s: mod97(s.replace(" ", ""))),
     ("ssn", re.compile(r"(?<![0-9-])((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])"), 0.4, None),
-    ("secret", re.compile(r"(?<![A-Za-z0-9])(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|[0-9a-f]{32,64})(?![A-Za-z0-9])"), 0.4, None),
+    ("secret", re.compile(r"(?<![A-Za-z0-9])(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|[0-9a-f]{32,})(?![A-Za-z0-9])"), 0.4, None),
 ]
 # a value behind a name for secrets needs a digit, but no shape of its own
-_ASSIGNED = ("secret", re.compile(r"(?:password|passwd|secret|token|api[_-]?key)[\"']?[ ]{0,3}[:=][ ]{0,3}[\"']?([^\s\"']{6,200})", re.I), 0.2,
+_ASSIGNED = ("secret", re.compile(r"(?:password|passwd|secret|token|api[_-]?key)[\"']?[ ]{0,3}[:=][ ]{0,3}[\"']?([^\s\"']{6,})", re.I), 0.2,
              lambda s: _HAS_DIGIT.search(s) is not None)
 _HAS_DIGIT = re.compile(r"[0-9]")
+_NO_MARK = re.compile(r"[^\W_]")
 _OWN_PREFIX = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
 _EXTRA_ORDER = ("iban", "ssn", "secret")
 
@@ -143,7 +145,7 @@ def find(text: str) -> list[Span]:
     # nearly all of these hold a digit, so most texts need no further search
     likely = _HAS_DIGIT.search(text) or any(p in text for p in _OWN_PREFIX)
     rules = [*(EXTRA if likely else ()), *([_ASSIGNED] if "=" in text or ":" in text else ())]
-    taken = list(base)
+    taken: list[tuple[int, int]] = []  # by extra spans
     for kind, pattern, score, check in rules:
         for m in pattern.finditer(text):
             start, end = m.span(m.lastindex)
@@ -154,7 +156,10 @@ def find(text: str) -> list[Span]:
                     continue
                 worth += 0.5
             worth = min(1.0, worth + context(text, kind, start, end))
-            if worth >= THRESHOLD and not any(a < end and start < b for a, b in taken):
+            if worth < THRESHOLD or any(a <= start and end <= b for a, b in base):
+                continue
+            near = [(a, b) for a, b in taken if a < end and start < b]
+            if not any(_NO_MARK.search(text[start:a] + text[max(start, b) : end]) is None for a, b in near):
                 spans.append(Span(kind, start, end, worth))
                 taken.append((start, end))
     extra = len(base)

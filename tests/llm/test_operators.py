@@ -220,6 +220,20 @@ def test_pii_report_and_mask(spark):
     assert masked[5].text == 'password=<SECRET> token = "<SECRET>"'
 
 
+def test_pii_long_secrets_and_overlaps():
+    body = "A1b2-C3d4_" * 60
+    assert pii.mask(f"token={body}. end") == "token=<SECRET> end"
+    assert pii.mask("hash key " + "0123456789abcdef" * 8 + " end") == "hash key <SECRET> end"
+    assert pii.mask("key sk-" + "aB3" * 40 + " end") == "key <SECRET> end"
+    iban = next(i for i in ("GB%02d NWBK 6016 1331 %04d %02d" % (k, n, m) for n in range(9999) for m in range(99) for k in [98 - int("".join(str(int(c, 36)) for c in "NWBK60161331%04d%02dGB00" % (n, m))) % 97])
+                if pii.luhn(re.sub("[^0-9]", "", i[10:])))
+    text = f"bank account {iban} end"
+    assert pii.listed(pii.find(text)) == "card:23:40,iban:13:40"
+    assert pii.mask(text) == "bank account <IBAN> end"
+    assert pii.mask("password=x1.sk-" + "a1" * 12 + ".tail9 end") == "password=<SECRET> end"
+    assert pii.listed(pii.find("token = " + "0a" * 20 + ", end")) == "secret:8:48"
+
+
 # -- packing -------------------------------------------------------------------------------------
 
 
