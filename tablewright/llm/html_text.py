@@ -9,7 +9,8 @@ main text.  Nothing else is dropped or shortened.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined by a line break in page order.  Scripts, styles, comments in the markup, the head and other
-elements without prose are no blocks.  Unclosed and stray tags do not stop the search: an end tag closes
+elements without prose are no blocks; of those, only what holds raw text runs to the end of the page when it
+is not closed, and the others then drop nothing.  The text of formulas stays.  Unclosed and stray tags do not stop the search: an end tag closes
 up to its start tag if there is one.
 
 Null and empty pages give an empty text.  Repeated rows are extracted each; an empty table gives an empty
@@ -54,12 +55,14 @@ CONTENT_NAMES = frozenset("article content main post entry story body articlebod
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|title|head\b(?=[^>]*/>)|textarea|select|button|svg|math|iframe|object|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|title|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+# elements without prose: they go up to their own end tag, and stay where there is none
+_BARE_TAGS = frozenset("noscript template select button svg object canvas audio video".split())
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _NAME = re.compile(r"[a-z]+")
 _UNSHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -165,6 +168,22 @@ def zone_of(tag: str, attributes: str) -> int | None:
     return found
 
 
+def bare_elements(page: str) -> dict[int, int]:
+    """Start and end of the elements of `_BARE_TAGS` that are closed; nested ones are paired from the inside."""
+    open_: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for m in _TOKEN.finditer(page):
+        tag = (m[3] or m[6] or "").lower()
+        if tag not in _BARE_TAGS:
+            continue
+        if not (m[2] or m[5]):
+            if tag != "svg" or not (m[4] or m[7] or "").endswith("/"):
+                open_.setdefault(tag, []).append(m.start())
+        elif open_.get(tag):
+            ends[open_[tag].pop()] = m.end()
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int, bool]] = []  # open container, zone inside, was that said by a tag
@@ -185,7 +204,10 @@ def blocks(page: str) -> list[Block]:
         parts, linked = [], []
 
     done = 0
+    ends: dict[int, int] | None = None  # looked for once such an element turns up
     for m in _TOKEN.finditer(page):
+        if m.start() < done:  # inside an element without prose
+            continue
         if m.start() > done:
             text = html.unescape(page[done : m.start()])
             parts.append(text)
@@ -197,6 +219,11 @@ def blocks(page: str) -> list[Block]:
             if m[1]:  # an element without prose stands between words
                 parts.append(" ")
             continue
+        if tag in _BARE_TAGS:
+            ends = bare_elements(page) if ends is None else ends
+            parts.append(" ")
+            done = ends.get(m.start(), done)
+            continue
         closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
         if tag == "a":
             in_link = not closing

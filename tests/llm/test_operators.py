@@ -492,6 +492,19 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ("<svg/><p>b</p>", "a\nb"), ("<svg a='x>y' /><p>b</p><svg><text>no</text></svg><p>c</p>", "a\nb\nc"), ("<math/><p>b</p>", "a\nb"),
+        ("<p>let <math><mi>x</mi></math> be</p>", "a\nlet x be"), ("<button>Go<p>b</p>", "a\nGo\nb"), ("<select><p>b</p><select><option>no</select><p>c</p>", "a\nb\nc"),
+        ("<video-player src=x></video-player><p>b</p>", "a\nb"), ("<button-group><p>b</p></button-group><p>c</p>", "a\nb\nc"),
+        ("<svg><svg><text>no</text></svg><text>no</text></svg><p>b</p>", "a\nb"), ("<p>b</p><script>var x = '<p>no</p>'", "a\nb"),
+    ],
+)
+def test_elements_without_prose_end_where_they_end(inside, text):
+    assert html_text.main_text(f"<article><p>a</p>{inside}") == text
+
+
 def test_pages_without_marks():
     words = vocabulary(10, 60)
     prose = " ".join(words[:45])
