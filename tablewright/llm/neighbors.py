@@ -4,7 +4,8 @@ Vectors are dealt to shards; a task builds the layered graph of its shard and th
 past it.  A search descends greedily through the sparse layers and ends with a beam in the full one.
 The beam is widened until an audit passes (a sample of the shard's own vectors must find themselves and
 all their brute-force neighbours above the threshold), and widened again for each query whose hits fill
-half of it, up to the whole shard, so a group of any size is found.  Hits are confirmed by the cosine in
+half of it, up to `WIDEST`; what fills that is compared with the whole shard in blocks, so a group of any
+size is found in bounded memory.  Hits are confirmed by the cosine in
 double precision.  Searches run for blocks of queries at once: one step expands one node of every query.
 
 Equal vectors are one node with a count.  A task sends on, per batch, the number of links of each query
@@ -36,6 +37,9 @@ SHARD, SHARDS = 100_000, 6
 DEGREE = 12  # links of a node in the upper layers; twice that in the lowest
 BUILD_BEAM, FIRST_BEAM = 48, 32
 BLOCK = 512
+WIDEST = 1024  # of the beams; beyond, a query is compared with every node
+EDGES = 1_000_000  # of a batch, before they are thinned to a forest
+PAIRS = 2_000_000  # of queries and nodes at once
 AUDIT, MIN_RECALL = 256, 0.995
 
 
@@ -176,24 +180,35 @@ class Graph:
             entry, _ = self._beam(level, q, entry, 8)
         return self._beam(0, q, entry, width)
 
-    def within(self, q: np.ndarray, width: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) of all nodes found not far below the threshold, beams widened as needed."""
-        rows, found = np.arange(len(q)), []
-        n = self.sizes[0]
+    def hits(self, q: np.ndarray, width: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, node) of all nodes found not far below the threshold, for bounded blocks of queries.
+
+        Beams are widened as needed up to `WIDEST`; a query that fills even that is compared with all nodes.
+        """
+        rows, n = np.arange(len(q)), self.sizes[0]
         while len(rows):
             width = min(width, n)
-            step = max(1, min(BLOCK, 4_000_000 // width))
+            every = width > WIDEST
+            step = max(1, min(BLOCK, PAIRS // (n if every else width)))
             wider = []
             for lo in range(0, len(rows), step):
                 part = rows[lo : lo + step]
+                if every:
+                    r, c = np.nonzero(q[part] @ self.x.T >= threshold - 1e-4)
+                    yield part[r], c
+                    continue
                 ids, near = self.search(q[part], width)
                 hit = near >= threshold - 1e-4
                 full = (hit.sum(1) * 2 >= width) & (width < n)
                 r, c = np.nonzero(hit & ~full[:, None])
-                found.append((part[r], ids[r, c]))
+                yield part[r], ids[r, c]
                 wider.append(part[full])
-            rows, width = np.concatenate(wider), 2 * width
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (rows, rows)
+            rows, width = np.concatenate(wider) if wider else rows[:0], 2 * width
+
+    def within(self, q: np.ndarray, width: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """All of `hits` at once."""
+        found = list(self.hits(q, width, threshold))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.arange(0), np.arange(0))
 
 
 def audited_beam(graph: Graph, threshold: float, width: int = FIRST_BEAM) -> tuple[int, float]:
@@ -257,13 +272,34 @@ def search_shards(rows: DataFrame, threshold: float) -> DataFrame:
                 yield from answer(graph, width, x, rep[lo:hi], x_all[graph.order], rep_all[graph.order], copies_all[graph.order])
 
     def answer(graph, width, q, q_rep, x, rep, copies) -> Iterator[dict]:
-        row, node = graph.within(q.astype(np.float32), width, threshold)
-        cosine = np.einsum("ij,ij->i", q[row], x[node])
-        good = (cosine >= threshold) & (q_rep[row] != rep[node])
-        row, node = row[good], node[good]
-        links = np.bincount(row, copies[node], len(q)).astype(np.int64)
+        links, edges = np.zeros(len(q), np.int64), np.zeros((0, 2), np.int64)
+        label = np.arange(len(rep))  # of nodes: equal where edges of this batch connect them
+        pairs = max(1, PAIRS // q.shape[1])
+        for rows, nodes in graph.hits(q.astype(np.float32), width, threshold):
+            for lo in range(0, len(rows), pairs):
+                row, node = rows[lo : lo + pairs], nodes[lo : lo + pairs]
+                cosine = np.einsum("ij,ij->i", q[row], x[node])
+                good = (cosine >= threshold) & (q_rep[row] != rep[node])
+                row, node = row[good], node[good]
+                links += np.bincount(row, copies[node], len(q)).astype(np.int64)
+                # of nodes that are connected already, one stands for all
+                tops = label[node]
+                while (tops != label[tops]).any():
+                    tops = label[tops]
+                label[node] = tops
+                pair, first = np.unique(np.stack([row, tops], 1), axis=0, return_index=True)
+                edges = np.concatenate([edges, np.stack([q_rep[row[first]], rep[node[first]]], 1)])
+                for (r, t), (before, top) in zip(pair[1:].tolist(), pair[:-1].tolist(), strict=True):
+                    if r == before:
+                        while t != label[t]:
+                            t = label[t]
+                        while top != label[top]:
+                            top = label[top]
+                        label[max(t, top)] = min(t, top)
+                if len(edges) > EDGES:
+                    edges = np.array(forest(edges[:, 0], edges[:, 1]), np.int64).reshape(-1, 2)
         asked = np.flatnonzero(links)
-        edges = np.array(forest(q_rep[row], rep[node]), np.int64).reshape(-1, 2)
+        edges = np.array(forest(edges[:, 0], edges[:, 1]), np.int64).reshape(-1, 2)
         none = pa.nulls(len(asked), pa.int64())
         yield {"a": q_rep[asked], "b": none, "links": links[asked]}
         yield {"a": edges[:, 0], "b": edges[:, 1], "links": pa.nulls(len(edges), pa.int64())}

@@ -471,6 +471,19 @@ def test_graph_recall_of_large_group():
     assert recall >= neighbors.MIN_RECALL and len(truth & found) >= 0.999 * len(truth)
 
 
+def test_hits_of_a_large_group_come_in_blocks(monkeypatch):
+    monkeypatch.setattr(neighbors, "WIDEST", 64)
+    monkeypatch.setattr(neighbors, "PAIRS", 5000)
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(100, 16)), rng.normal(size=16) + rng.normal(size=(300, 16)) * 0.03])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = neighbors.Graph(x)
+    parts = list(graph.hits(x.astype(np.float32), 32, 0.95))
+    assert max(len(r) for r, _ in parts) <= 5000
+    found = {(a, b) for r, c in parts for a, b in zip(r.tolist(), graph.order[c].tolist(), strict=True)}
+    assert sum(len(r) for r, _ in parts) == len(found) and found >= set(zip(*(v.tolist() for v in np.nonzero(x @ x.T >= 0.9501)), strict=True))
+
+
 # -- pages ---------------------------------------------------------------------------------------
 
 
