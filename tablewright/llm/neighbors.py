@@ -2,8 +2,8 @@
 
 Vectors are dealt to shards; a task builds the layered graph of its shard and then streams every vector
 past it.  A search descends greedily through the sparse layers and ends with a beam in the full one.
-The beam is widened until an audit passes (a sample of the shard's own vectors must find themselves and
-all their brute-force neighbours above the threshold), and widened again for each query whose hits fill
+The beam is widened until an audit passes (a sample of the shard's own vectors must find
+nearly all their brute-force neighbours above the threshold), and widened again for each query whose hits fill
 half of it, up to `WIDEST`; what fills that is compared with the whole shard in blocks, so a group of any
 size is found in bounded memory.  Hits are confirmed by the cosine in
 double precision.  Searches run for blocks of queries at once: one step expands one node of every query.
@@ -40,7 +40,7 @@ BLOCK = 512
 WIDEST = 1024  # of the beams; beyond, a query is compared with every node
 EDGES = 1_000_000  # of a batch, before they are thinned to a forest
 PAIRS = 2_000_000  # of queries and nodes at once
-AUDIT, MIN_RECALL = 256, 0.995
+AUDIT, AUDIT_BLOCKS, MIN_RECALL = 256, 16, 0.995
 
 
 class Graph:
@@ -187,8 +187,7 @@ class Graph:
         """
         rows, n = np.arange(len(q)), self.sizes[0]
         while len(rows):
-            width = min(width, n)
-            every = width > WIDEST
+            every, width = width > WIDEST, min(width, n)
             step = max(1, min(BLOCK, PAIRS // (n if every else width)))
             wider = []
             for lo in range(0, len(rows), step):
@@ -212,17 +211,29 @@ class Graph:
 
 
 def audited_beam(graph: Graph, threshold: float, width: int = FIRST_BEAM) -> tuple[int, float]:
-    """The first beam width at which a sample of nodes finds itself and its neighbours, and the recall."""
+    """The first beam width at which a sample of nodes finds its neighbours (itself is none), and the recall.
+
+    Nodes are drawn until `AUDIT` neighbours are seen, or `AUDIT_BLOCKS` blocks of nodes.  Where no beam
+    passes, the width is beyond `WIDEST`: every node is compared.
+    """
     n = graph.sizes[0]
-    sample = np.unique(np.linspace(0, n - 1, min(n, AUDIT)).astype(int))
-    truth = np.stack(np.nonzero(graph.x[sample] @ graph.x.T >= threshold), 1)
-    truth = set(map(tuple, truth.tolist()))
+    drawn, sample, truth = np.random.default_rng(0).permutation(n), [], set()
+    for lo in range(0, min(n, AUDIT * AUDIT_BLOCKS), AUDIT):
+        part = drawn[lo : lo + AUDIT]
+        r, c = np.nonzero(graph.x[part] @ graph.x.T >= threshold)
+        other = part[r] != c
+        sample.append(part)
+        truth.update(zip((r[other] + lo).tolist(), c[other].tolist(), strict=True))
+        if len(truth) >= AUDIT:
+            break
+    q = graph.x[np.concatenate(sample)]
     while True:
-        got = graph.within(graph.x[sample], width, threshold)
-        recall = len(truth & set(zip(got[0].tolist(), got[1].tolist(), strict=True))) / max(1, len(truth))
-        if recall >= MIN_RECALL or width >= n:
+        got = graph.within(q, width, threshold)
+        seen = len(truth & set(zip(got[0].tolist(), got[1].tolist(), strict=True)))
+        recall = seen / len(truth) if truth else 1.0
+        if recall >= MIN_RECALL or width > WIDEST:
             return width, recall
-        width *= 2
+        width = WIDEST + 1 if width >= n else 2 * width
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

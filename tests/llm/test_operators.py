@@ -484,6 +484,19 @@ def test_hits_of_a_large_group_come_in_blocks(monkeypatch):
     assert sum(len(r) for r, _ in parts) == len(found) and found >= set(zip(*(v.tolist() for v in np.nonzero(x @ x.T >= 0.9501)), strict=True))
 
 
+def test_audit_compares_all_where_links_are_missing():
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(150, 16)), 2, 0) + rng.normal(size=(300, 16)) * 0.01
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = neighbors.Graph(x)
+    lost = np.flatnonzero(graph.order % 20 == 1)  # nobody leads to these
+    for links in graph.links:
+        links[np.isin(links, lost)] = -1
+    width, recall = neighbors.audited_beam(graph, 0.95)
+    assert width > neighbors.WIDEST and recall == 1
+    assert len(graph.within(x.astype(np.float32), width, 0.95)[0]) >= 600
+
+
 # -- pages ---------------------------------------------------------------------------------------
 
 
