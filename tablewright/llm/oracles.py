@@ -101,10 +101,99 @@ SELECT least.id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component AS compo
 FROM least LEFT JOIN counted ON counted.id = least.id
 """
 
+REPAIR = r"""
+WITH RECURSIVE bits AS (
+  SELECT range AS i, range::BIGINT AS c, 0 AS step FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8
+),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+),
+dealt AS (
+  SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ord(k[i])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM given, crc
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+  FROM dealt, (SELECT unnest([0, 1]) AS copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending, substr(role, 1, 1) AS c
+  FROM damaged
+),
+faulty AS (
+  SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS c_before, max(i) OVER (PARTITION BY conv_id) AS n
+  FROM placed
+),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (c_before IS NOT NULL AND c_before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+),
+search AS (
+  SELECT conv_id, n + 1 AS i, {'cost': 0, 'audit': '', 'lines': ''} AS b0, {'cost': 6, 'audit': 'II', 'lines': chr(10) || 'user:' || chr(10) || 'assistant:'} AS b1,
+    {'cost': 3, 'audit': 'I', 'lines': chr(10) || 'assistant:'} AS b2, {'cost': 0, 'audit': '', 'lines': ''} AS b3
+  FROM faulty WHERE i = 1
+  UNION ALL
+  SELECT conv_id, i, list_min([k0, i0, j0]), list_min([k1, i1, j1]), list_min([k2, i2, j2]), list_min([k3, i3, j3])
+  FROM (
+    SELECT conv_id, i, k0, k1, k2, k3,
+      {'cost': k2.cost + 3, 'audit': 'I' || k2.audit, 'lines': chr(10) || 'user:' || k2.lines} AS i0,
+      {'cost': k2.cost + 3, 'audit': 'I' || k2.audit, 'lines': chr(10) || 'user:' || k2.lines} AS i1,
+      {'cost': k3.cost + 3, 'audit': 'I' || k3.audit, 'lines': chr(10) || 'assistant:' || k3.lines} AS i2,
+      {'cost': k2.cost + 3, 'audit': 'I' || k2.audit, 'lines': chr(10) || 'user:' || k2.lines} AS i3,
+      {'cost': k3.cost + 6, 'audit': 'II' || k3.audit, 'lines': chr(10) || 'user:' || chr(10) || 'assistant:' || k3.lines} AS j0,
+      {'cost': k3.cost + 6, 'audit': 'II' || k3.audit, 'lines': chr(10) || 'user:' || chr(10) || 'assistant:' || k3.lines} AS j1,
+      {'cost': k2.cost + 6, 'audit': 'II' || k2.audit, 'lines': chr(10) || 'assistant:' || chr(10) || 'user:' || k2.lines} AS j2,
+      {'cost': k3.cost + 6, 'audit': 'II' || k3.audit, 'lines': chr(10) || 'user:' || chr(10) || 'assistant:' || k3.lines} AS j3
+    FROM (
+      SELECT conv_id, i,
+        list_min([{'cost': b0.cost + 4, 'audit': 'D' || b0.audit, 'lines': b0.lines},
+          {'cost': b2.cost + stay + 3, 'audit': 'R' || b2.audit, 'lines': chr(10) || 'user:' || text || b2.lines},
+          {'cost': CASE c WHEN 's' THEN b1.cost WHEN 'u' THEN b2.cost ELSE 10**9 END::INT + stay, 'audit': 'K' || CASE c WHEN 's' THEN b1.audit ELSE b2.audit END,
+           'lines': chr(10) || role || ':' || text || CASE c WHEN 's' THEN b1.lines ELSE b2.lines END}]) AS k0,
+        list_min([{'cost': b1.cost + 4, 'audit': 'D' || b1.audit, 'lines': b1.lines},
+          {'cost': b2.cost + stay + 3, 'audit': 'R' || b2.audit, 'lines': chr(10) || 'user:' || text || b2.lines},
+          {'cost': CASE c WHEN 'u' THEN b2.cost ELSE 10**9 END::INT + stay, 'audit': 'K' || b2.audit, 'lines': chr(10) || role || ':' || text || b2.lines}]) AS k1,
+        list_min([{'cost': b2.cost + 4, 'audit': 'D' || b2.audit, 'lines': b2.lines},
+          {'cost': b3.cost + stay + 3, 'audit': 'R' || b3.audit, 'lines': chr(10) || 'assistant:' || text || b3.lines},
+          {'cost': CASE c WHEN 'a' THEN b3.cost ELSE 10**9 END::INT + stay, 'audit': 'K' || b3.audit, 'lines': chr(10) || role || ':' || text || b3.lines}]) AS k2,
+        list_min([{'cost': b3.cost + 4, 'audit': 'D' || b3.audit, 'lines': b3.lines},
+          {'cost': b2.cost + stay + 3, 'audit': 'R' || b2.audit, 'lines': chr(10) || 'user:' || text || b2.lines},
+          {'cost': CASE c WHEN 'u' THEN b2.cost ELSE 10**9 END::INT + stay, 'audit': 'K' || b2.audit, 'lines': chr(10) || role || ':' || text || b2.lines}]) AS k3
+      FROM (
+        SELECT s.*, f.i AS i_row, f.role, f.text, f.c,
+          CASE WHEN fault IN ('blank', 'duplicate') THEN 10**9 WHEN fault = 'truncated' THEN 3 ELSE 0 END::INT AS stay
+        FROM (SELECT conv_id, i - 1 AS i, b0, b1, b2, b3 FROM search WHERE i > 1) s
+        JOIN faulty f ON f.i = s.i AND f.conv_id IS NOT DISTINCT FROM s.conv_id
+      )
+    )
+  )
+),
+found AS (SELECT conv_id, b0.cost AS cost, b0.audit AS audit, b0.lines AS lines FROM search WHERE i = 1)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(substr(lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN found ON found.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES = {
     "op4_near_vectors": NEAR_VECTORS,
     "op6_quality_rules": QUALITY_RULES,
     "op7_jaccard_join": JACCARD_JOIN,
     "op8_substring_dedup": SUBSTRING_DEDUP,
     "op10_mix_sources": MIX_SOURCES,
+    "op12_repair": REPAIR,
 }

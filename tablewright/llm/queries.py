@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
-from . import html_text, jaccard, language, mixing, neighbors, packing, pii, quality, substrings, toxicity
+from . import dialogues, html_text, jaccard, language, mixing, neighbors, packing, pii, quality, sentencepieces
+from . import substrings, toxicity
 from .oracles import ORACLES
 
 __all__ = ["QUERIES", "ORACLES"]
@@ -31,6 +32,7 @@ def query(name: str, table: str = "documents"):
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 HELD_OUT = "pmod(crc32(cast(doc_id as string)), 3) = 1"
 
 
@@ -93,3 +95,18 @@ def _op10(docs: DataFrame, folder: str) -> DataFrame:
     sized = docs.select("doc_id", "source", mixing.word_count("text").alias("size"))
     queue = mixing.served(materialize(sized, "sizes"))
     return queue.drop("source").orderBy("virtual_finish", "doc_id")
+
+
+@query("op12_repair", "conversations")
+def _op12(rows: DataFrame, folder: str) -> DataFrame:
+    return dialogues.repaired(dialogues.damaged(rows))
+
+
+@query("op13_sentencepiece")
+def _op13(docs: DataFrame, folder: str) -> DataFrame:
+    found = sentencepieces.encode(docs, PIECES)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

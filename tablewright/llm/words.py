@@ -114,14 +114,31 @@ def running(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def byte_sums(data: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def byte_table(salt: int, fold: bool = False) -> np.ndarray:
+    """Another random value per byte, for a hash independent of the usual one."""
+    table = np.random.default_rng([20240501, salt]).integers(0, 2**64, 256, dtype=np.uint64)
+    if fold:
+        table[65:91] = table[97:123]
+    return table
+
+
+def byte_sums(data: np.ndarray, fold: bool = False, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Sums from which `range_hash` takes the hash of any byte range; `fold` takes A-Z for a-z."""
+    if table is None:
+        table = _FOLDED if fold else _RANDOM
     power, inverse = _powers(_BYTE_BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_FOLDED if fold else _RANDOM)[data] * power[:-1], out=sums[1:])
+    np.cumsum(table[data] * power[:-1], out=sums[1:])
     return sums, inverse
 
 
+def take_ranges(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of `flat` one behind the other, and their bounds there."""
+    bounds = running(length)
+    at = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], length)
+    return flat[at], bounds
+
+
 def range_hash(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
     total, inverse = sums
     return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
