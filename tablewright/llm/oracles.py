@@ -189,7 +189,46 @@ LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN found ON found.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
+COLLOCATIONS = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+listed AS (SELECT lang, ws, len(ws) AS m FROM split WHERE len(ws) > 0),
+totals AS (SELECT lang, sum(m)::BIGINT AS n FROM listed GROUP BY lang),
+grams AS (
+  SELECT lang, ws[s:s + k - 1] AS g, k FROM (
+    SELECT lang, ws, m, k, unnest(range(1, m - k + 2)) AS s FROM listed, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE m >= k
+  )
+),
+f AS (SELECT lang, g, k, count(*)::HUGEINT AS a FROM grams GROUP BY lang, g, k HAVING count(*) >= 30),
+cuts AS (SELECT lang, g, k, a, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+scores AS (
+  SELECT c.lang, c.g, c.k, c.a, c.c, x.a AS l, y.a AS r, (2000000 * c.a) // (x.a + y.a) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.c] JOIN f y ON y.lang = c.lang AND y.g = c.g[c.c + 1:c.k]
+),
+least AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, c) AS place FROM scores) WHERE place = 1
+),
+inner_parts AS (
+  SELECT DISTINCT lang, g[s:s + size - 1] AS part, a FROM (
+    SELECT lang, g, k, a, size, unnest(range(1, k - size + 2)) AS s FROM f, (SELECT unnest([2, 3]) AS size) WHERE k > size
+  )
+),
+longer AS (SELECT lang, part, max(a) AS most FROM inner_parts GROUP BY lang, part),
+kept AS (
+  SELECT x.*, array_to_string(x.g, ' ') AS phrase FROM least x LEFT JOIN longer y ON y.lang = x.lang AND y.part = x.g
+  WHERE y.most IS NULL OR 100 * y.most < 80 * x.a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
+    "op11_collocations": COLLOCATIONS,
     "op4_near_vectors": NEAR_VECTORS,
     "op6_quality_rules": QUALITY_RULES,
     "op7_jaccard_join": JACCARD_JOIN,

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
-from . import dialogues, html_text, jaccard, language, mixing, neighbors, packing, pii, quality, sentencepieces
-from . import substrings, toxicity
+from . import collocations, dialogues, html_text, jaccard, language, mixing, neighbors, packing, pii, quality
+from . import sentencepieces, substrings, toxicity
 from .oracles import ORACLES
 
 __all__ = ["QUERIES", "ORACLES"]
@@ -97,6 +97,11 @@ def _op10(docs: DataFrame, folder: str) -> DataFrame:
     return queue.drop("source").orderBy("virtual_finish", "doc_id")
 
 
+@query("op11_collocations")
+def _op11(docs: DataFrame, folder: str) -> DataFrame:
+    return collocations.collocations(docs)
+
+
 @query("op12_repair", "conversations")
 def _op12(rows: DataFrame, folder: str) -> DataFrame:
     return dialogues.repaired(dialogues.damaged(rows))
