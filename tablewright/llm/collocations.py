@@ -46,9 +46,9 @@ from .frames import arrow_stage
 
 LEAST, SCALE, TOP, LONGEST = 30, 2_000_000, 2000, 4
 INSIDE = (100, 80)  # dropped if 100 * f(longer) >= 80 * a
-SLICE = 4 << 20
-BLOCK = 2_000_000  # words of one shard
-CONDENSE = 4_000_000  # arcs of one part that wait for their union
+SLICE = 1 << 20
+BLOCK = 1_000_000  # words of one shard
+CONDENSE = 1_000_000  # arcs of one part that wait for their union
 FILTERED = 1 << 22
 PART_WORDS = 1 << 21  # words of the corpus for one part of the automata
 UNKNOWN = "und"
@@ -81,7 +81,7 @@ def tokens(texts: W.Texts, seeds: np.ndarray, table: np.ndarray) -> Tokens:
     found = W.words(texts, _IN_WORD)
     per_text = np.diff(found.first)
     label = W.mix(W.range_hash(W.byte_sums(data, table=table), found.start, found.end) ^ np.repeat(seeds, per_text))
-    marks = W.running(_MARK[texts.data])
+    marks = np.cumsum(_MARK[texts.data], dtype=np.int32)
     linked = np.zeros(len(label), bool)
     linked[:-1] = marks[found.start[1:]] == marks[found.start[:-1]]
     last = found.first[1:][per_text > 0] - 1
@@ -89,14 +89,14 @@ def tokens(texts: W.Texts, seeds: np.ndarray, table: np.ndarray) -> Tokens:
     return Tokens(label, linked, data, found)
 
 
-def scan(batch: pa.RecordBatch, salt: int) -> Iterator[tuple[Tokens, list[str], np.ndarray]]:
+def scan(batch: pa.RecordBatch, salt: int, size: int | None = None) -> Iterator[tuple[Tokens, list[str], np.ndarray]]:
     """Tokens of slices of (lang, text) rows, the languages of the batch, and the language of each text."""
     table = W.byte_table(salt)
     coded = batch.column(0).dictionary_encode()
     langs = coded.dictionary.to_pylist()
     lang_seeds = np.array([language_seed(x, salt) for x in langs], np.uint64)
     code = coded.indices.to_numpy(zero_copy_only=False)
-    for lo, hi, t in W.slices(batch.column(1), SLICE):
+    for lo, hi, t in W.slices(batch.column(1), size or SLICE):
         yield tokens(t, lang_seeds[code[lo:hi]], table), langs, code[lo:hi]
 
 
@@ -104,7 +104,7 @@ def word_counts(rows: DataFrame, salt: int) -> DataFrame:
     """`label, lang, word, n`; a language's own row has no word and counts all its words."""
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
-        for t, langs, code in scan(batch, salt):
+        for t, langs, code in scan(batch, salt, 2 * SLICE):
             per_text = np.diff(t.found.first)
             of_word = np.repeat(code, per_text)
             label, place, n = np.unique(t.label, return_index=True, return_counts=True)
