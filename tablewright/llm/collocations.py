@@ -255,6 +255,11 @@ def shards(rows: DataFrame, salt: int, words, pairs, depth: int, parts: int) ->
     return arrow_stage(rows, arcs_schema(depth), run, whole=True)
 
 
+def dealt_by_part(rows: DataFrame, parts: int) -> DataFrame:
+    """One task for each part or two: rows hold whole subtrees, and a task should hold few of them at once."""
+    return rows.repartition(parts, "part")
+
+
 def union(automata: list[list[np.ndarray]], parts: int) -> Automaton:
     """Sum of automata given as columns (one, two, n2, p3, l3, n3, ...)."""
     levels = list(zip(*automata, strict=True))
@@ -321,7 +326,7 @@ def united(pieces: DataFrame, depth: int, parts: int) -> DataFrame:
                     size = CONDENSE - max(CONDENSE, sum(len(v) for v in waiting[0][::3]))
         yield from result()
 
-    return arrow_stage(pieces.repartition("part").sortWithinPartitions("part"), schema, run, whole=True)
+    return arrow_stage(dealt_by_part(pieces, parts).sortWithinPartitions("part"), schema, run, whole=True)
 
 
 # ---------------------------------------------------------------------------------------- parts of phrases
@@ -391,7 +396,7 @@ def composed(automata: DataFrame, asked: DataFrame, parts: int) -> DataFrame:
                 yield {c: part.column(c) for c in carried} | {"r": compose(table, part)}
 
     kinds = ", ".join(f"{c} {asked.schema[c].dataType.simpleString()}" for c in carried)
-    met = both.repartition("part").sortWithinPartitions("part", "kind")
+    met = dealt_by_part(both, parts).sortWithinPartitions("part", "kind")
     return arrow_stage(met, kinds + ", r long", run, whole=True)
 
 
@@ -437,7 +442,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
     words = counts.where(F.col("word").isNotNull() & (F.col("n") >= LEAST))
     totals = counts.where("word is null").select(F.col("lang").alias("of"), F.col("n").alias("all"))
     size = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
-    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_WORDS)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_WORDS)
 
     def shared(values):
         return None if values is None else spark.sparkContext.broadcast(values)
