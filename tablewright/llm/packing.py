@@ -11,8 +11,8 @@ document and piece) belongs to an interval of the plan, hence to a sequence and
 
 Numbers within a length come from `dense_ids` (range partitions and their counts), so a length that
 most documents share is no single task.  Tokenizing remembers words: the tokenizer drops white space
-and never joins across it, so a text's ids are those of its words, and a word seen before costs a
-dictionary lookup.  The memory is bounded by about `REMEMBERED` words per worker.
+and never joins across it, so a text's ids are those of its words.  A slice of texts looks up each distinct
+word once and takes the ids of all its words from there by position.  About `REMEMBERED` words are remembered per worker.
 
 Where token ids are asked for, they are written once (`squeeze`), with a number for each piece; only narrow
 rows are planned and numbered, and the ids meet their places in one join at the end.
@@ -23,9 +23,9 @@ gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,74 +34,98 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import dense_ids
 from ..session import materialize
+from . import words as W
 from .frames import arrow_stage
-from .words import slices
 
 CAPACITY = 4096
 END_ID = 1
 REMEMBERED = 300_000
+SLICE = 1 << 20  # bytes of text whose distinct words are looked up together
 UNPACKED = 256  # pieces whose ids are unpacked at once
-# pieces into which the tokenizer splits; only used where letters and marks are beyond doubt
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zµß-öø-ÿ]+|[0-9]|[^\sa-z0-9µß-öø-ÿ]+")
-_PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+_MARK[list(b".,;:!?")] = True
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
 
 
-class WordIds(dict):
-    """Token ids of words as little-endian 32-bit bytes, learnt for many words at once."""
+class WordIds:
+    """Token ids of words as little-endian 32-bit bytes, looked up or encoded for many words at once."""
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer = tokenizer
-        self.pieces: dict[str, bytes] = {}
-        self.passing: list[bytes] = []  # known for the slice at hand only
-        self.passing_pieces: list[str] = []
+        self.known: dict[bytes, bytes] = {}
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def learn(self, words: list[bytes]) -> None:
-        """Make sure that all these words are known until the next call; the first ones stay for good."""
-        for cache, passing in ((self, self.passing), (self.pieces, self.passing_pieces)):
-            for key in passing:
-                del cache[key]
-            passing.clear()
-        split: dict[bytes, list[str]] = {}
-        new = set(words).difference(self)
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            # most words are letters, or letters and one mark: no pattern needed
-            if text.isalpha() and max(text) <= "ÿ":
-                split[word] = [text.lower()]
-            elif text[-1] in ".,;:!?" and (stem := text[:-1]).isalpha() and max(stem) <= "ÿ":
-                split[word] = [stem.lower(), text[-1]]
-            elif _PLAIN.fullmatch(text) and "<|" not in text:
-                split[word] = _PIECES.findall(text.lower())
-            else:
-                self[word] = self._encode(text)
-        pieces = list({p for parts in split.values() for p in parts}.difference(self.pieces))
-        self._learn_pieces(pieces)
-        if len(self.pieces) > REMEMBERED:
-            self.passing_pieces.extend(pieces)
-        known = self.pieces
-        for word, parts in split.items():
-            self[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
-        if len(self) > REMEMBERED:
-            self.passing.extend(new)
-
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        """One call for all pieces: with blanks between them, each is a word of its own to the tokenizer."""
-        if not pieces:
-            return
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-        cut = np.append(0, np.flatnonzero(self.ends[ids]) + 1) * 4  # each piece ends with a token that ends words
-        raw = ids.tobytes()
-        if len(cut) == len(pieces) + 1 and cut[-1] == len(raw):
-            cut = cut.tolist()
-            self.pieces.update((p, raw[a:b]) for p, a, b in zip(pieces, cut[:-1], cut[1:], strict=True))
+    def ids(self, units: list[bytes], plain: np.ndarray) -> list[bytes]:
+        """Ids of distinct units; the first `REMEMBERED` units stay known."""
+        known = self.known
+        found = [known.get(u) for u in units]
+        new = [i for i, x in enumerate(found) if x is None]
+        for i, x in zip(new, self.encoded([units[i] for i in new], plain[new]), strict=True):
+            found[i] = x
+            if len(known) < REMEMBERED:
+                known[units[i]] = x
+        return found
+
+    def encoded(self, units: list[bytes], plain: np.ndarray) -> list[bytes]:
+        """Plain units are single pieces to the tokenizer and go through it in one text, others one by one."""
+        one, others = np.flatnonzero(plain).tolist(), np.flatnonzero(~plain).tolist()
+        found = [b""] * len(units)
+        ids = self._batch([b" ".join([units[i] for i in one])])[0]
+        # each piece ends with a token that ends words
+        cut = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+        if len(cut) == len(one) + 1 and cut[-1] == len(ids):
+            raw, cut = ids.tobytes(), (4 * cut).tolist()
+            for i, a, b in zip(one, cut[:-1], cut[1:], strict=True):
+                found[i] = raw[a:b]
         else:
-            self.pieces.update((p, self._encode(p)) for p in pieces)
+            others = list(range(len(units)))
+        for i, x in zip(others, self._batch([units[i] for i in others]), strict=True):
+            found[i] = x.tobytes()
+        return found
 
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _batch(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.array(f.ids, "<u4") for f in found]
+
+
+class Units(NamedTuple):
+    """Folded bytes and ranges of what is looked up; those of text i are first[i]:first[i + 1]."""
+
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    plain: np.ndarray
+
+
+def units(texts: W.Texts) -> Units:
+    """Words, a mark behind letters apart; plain ones are letters (a to z, and those of Latin-1) or a mark.
+
+    The tokenizer lower-cases, so A to Z are folded first, unless the texts may hold its special tokens.
+    """
+    found, data = W.words(texts), texts.data
+    if b"<|" not in data.tobytes():
+        data = _FOLD[data]
+    after = np.append(data[1:], np.uint8(0))
+    wide = (data == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+    letter = _LETTER[data] | wide
+    letter[1:] |= wide[:-1]
+    other = W.running(~letter)
+    start, end = found.start, found.end
+    cut = _MARK[data[end - 1]] & (end - start > 1) & (other[end - 1] == other[start])
+    shift = W.running(cut)
+    at = np.arange(len(start)) + shift[:-1]
+    begin, stop = np.empty((2, len(start) + int(shift[-1])), np.int64)
+    begin[at], stop[at] = start, end - cut
+    marks = at[cut] + 1
+    begin[marks], stop[marks] = end[cut] - 1, end[cut]
+    plain = other[begin] == other[stop]
+    plain[marks] = True
+    return Units(data, begin, stop, found.first + shift[found.first], plain)
 
 
 _loaded: dict[str, WordIds] = {}
@@ -135,14 +159,20 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     def tokenize(batch: pa.RecordBatch) -> Iterator[dict]:
         known = word_ids(tokenizer)
         keys, column = batch.columns
-        for lo, hi, t in slices(column):
-            raw, bounds = t.data.tobytes(), t.bounds.tolist()
+        for lo, hi, t in W.slices(column, SLICE):
             # bytes are split at ASCII white space only: the tokenizer itself sees the rest
-            words = [raw[a:b].split() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            known.learn([w for part in words for w in part])
+            found = units(t)
+            kinds = W.distinct(found.data, found.start, found.end)
+            raw, at = found.data.tobytes(), kinds.place
+            cuts = zip(found.start[at].tolist(), found.end[at].tolist(), strict=True)
+            parts = known.ids([raw[a:b] for a, b in cuts], found.plain[at])
+            size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            begin = W.running(size)[:-1][kinds.kind]
+            every, bounds = W.take_ranges(np.frombuffer(b"".join(parts), "<u4"), begin, size[kinds.kind])
+            cut = bounds[found.first].tolist()
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i in range(hi - lo):
-                whole = b"".join([known[w] for w in words[i]]) + end
+                whole = every[cut[i] : cut[i + 1]].tobytes() + end
                 for n, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     row.append(i)

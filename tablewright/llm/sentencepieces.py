@@ -38,7 +38,6 @@ MARKER = "▁"
 TABLE_CHUNKS = 300_000
 LONGEST = 64  # bytes of a chunk that the table may hold
 SLICE = 4 << 20
-_SECOND = W.byte_table(13)
 _loaded: dict[str, object] = {}
 
 
@@ -85,30 +84,6 @@ def chunks(texts: W.Texts) -> Chunks:
     return Chunks(at + cut[at], np.append(at[1:], len(blank)), np.searchsorted(at, texts.bounds))
 
 
-def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of byte ranges."""
-    return W.hash_ranges(data, start, end), W.range_hash(W.byte_sums(data, table=_SECOND), start, end)
-
-
-class Distinct(NamedTuple):
-    """Places of the first of each kind, the kind of every range, and the hashes of the kinds."""
-
-    place: np.ndarray
-    kind: np.ndarray
-    one: np.ndarray
-    two: np.ndarray
-
-
-def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Distinct:
-    one, two = hashes(data, start, end)
-    _, place, kind = np.unique(one, return_index=True, return_inverse=True)
-    odd = np.flatnonzero(two[place][kind] != two)
-    if len(odd):  # ranges that agree in the first hash only
-        kind[odd] = len(place) + np.arange(len(odd))
-        place = np.concatenate([place, odd])
-    return Distinct(place, kind, one[place], two[place])
-
-
 class Segments(NamedTuple):
     """Ids and decoded bytes (with their leading blank) of chunks, one behind the other."""
 
@@ -150,7 +125,7 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
             c = chunks(t)
             short = np.flatnonzero(c.end - c.start <= LONGEST)
             start, end = c.start[short], c.end[short]
-            d = distinct(t.data, start, end)
+            d = W.distinct(t.data, start, end)
             raw, bounds = W.take_ranges(t.data, start[d.place], (end - start)[d.place])
             chunk = pa.Array.from_buffers(
                 pa.binary(), len(d.place), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw)]
@@ -192,7 +167,7 @@ def chunk_table(docs: DataFrame, model: str, text: str = "text") -> Table:
     rows = arrow_stage(frequent(counts).select("chunk"), "chunk binary, ids array<int>, decoded string", encode).toArrow()
     raw = rows["chunk"].to_pylist()
     bounds = W.running(np.fromiter(map(len, raw), np.int64, len(raw)))
-    one, two = hashes(np.frombuffer(b"".join(raw), np.uint8), bounds[:-1], bounds[1:])
+    one, two = W.two_hashes(np.frombuffer(b"".join(raw), np.uint8), bounds[:-1], bounds[1:])
     order = np.argsort(one)
     ids, decoded = rows["ids"].to_pylist(), rows["decoded"].to_pylist()
     return Table(one[order], two[order], segments([ids[i] for i in order], [decoded[i] for i in order]))
@@ -204,7 +179,7 @@ def chosen(s: Segments, at: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray],
     return ids, W.take_ranges(s.text, s.text_bounds[at], np.diff(s.text_bounds)[at])
 
 
-def looked_up(model, table: Table, data: np.ndarray, c: Chunks, d: Distinct) -> Segments:
+def looked_up(model, table: Table, data: np.ndarray, c: Chunks, d: W.Distinct) -> Segments:
     """Segments of the kinds of a slice: from the table where it has them, else from the library."""
     at = np.searchsorted(table.one, d.one)
     at[at == len(table.one)] = 0
@@ -235,7 +210,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text")
         keys, column = batch.columns
         for lo, hi, t in W.slices(plain(column), SLICE):
             c = chunks(t)
-            d = distinct(t.data, c.start, c.end)
+            d = W.distinct(t.data, c.start, c.end)
             s = looked_up(sp, table, t.data, c, d)
             (ids, id_bounds), (out, out_bounds) = chosen(s, d.kind)
             ids_of = pa.ListArray.from_arrays(pa.array(id_bounds[c.first].astype(np.int32)), pa.array(ids))

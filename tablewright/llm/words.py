@@ -149,6 +149,34 @@ def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool
     return range_hash(byte_sums(data, fold), start, end)
 
 
+_SECOND = byte_table(13)
+
+
+def two_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of byte ranges, 128 bits together."""
+    return hash_ranges(data, start, end), range_hash(byte_sums(data, table=_SECOND), start, end)
+
+
+class Distinct(NamedTuple):
+    """Places of the first of each kind, the kind of every range, and the hashes of the kinds."""
+
+    place: np.ndarray
+    kind: np.ndarray
+    one: np.ndarray
+    two: np.ndarray
+
+
+def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Distinct:
+    """Byte ranges by kind; ranges that agree in the first hash only are kinds of their own."""
+    one, two = two_hashes(data, start, end)
+    _, place, kind = np.unique(one, return_index=True, return_inverse=True)
+    odd = np.flatnonzero(two[place][kind] != two)
+    if len(odd):
+        kind[odd] = len(place) + np.arange(len(odd))
+        place = np.concatenate([place, odd])
+    return Distinct(place, kind, one[place], two[place])
+
+
 def owners(first: np.ndarray) -> np.ndarray:
     """Text number of each word."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))

@@ -8,9 +8,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from tablewright.llm import html_text, jaccard, language, mixing, neighbors, packing, pii, quality, substrings, toxicity
+from tablewright.llm import html_text, jaccard, language, mixing, neighbors, packing, pii, quality, substrings, toxicity, words
 from tablewright.session import ship
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -250,9 +251,11 @@ def test_word_ids_are_the_tokenizers(tokenizer):
     for _ in range(4000):
         text = "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40)))
         ids = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.encode().split()
-        known.learn(words)
-        assert b"".join(known[w] for w in words) == ids, repr(text)
+        _, _, slice_ = next(words.slices(pa.array([text])))
+        found = packing.units(slice_)
+        raw = found.data.tobytes()
+        parts = [raw[a:b] for a, b in zip(found.start, found.end, strict=True)]
+        assert b"".join(known.ids(parts, found.plain)) == ids, repr(text)
 
 
 def test_packing(spark, texts, tokenizer):
