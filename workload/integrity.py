@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import quality
 from tablewright.operators.deletes import CASCADE, RESTRICT, SET_NULL, ForeignKey, propagate
+from tablewright.operators.key_rules import PRIMARY, Key, key_violations
 from tablewright.operators.keys import next_ids
 from tablewright.operators.project import more_than_one, union_aligned
 from tablewright.operators.upsert import insert_if_absent, seed, upsert
@@ -84,8 +85,8 @@ def dq_unique(t: Tables) -> DataFrame:
     labels = t("customer").selectExpr("CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment ELSE c_name END AS label")
     return quality.union_violations(
         [
-            quality.unique(events, "events", ["user_id", "event_type", "minute"]),
-            quality.unique(labels, "customer", ["label"]),
+            key_violations(events, "events", [Key(("user_id", "event_type", "minute"))]),
+            key_violations(labels, "customer", [Key(("label",))]),
         ]
     )
 
@@ -98,14 +99,20 @@ def dq_unique(t: Tables) -> DataFrame:
        FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
        UNION ALL
        SELECT 'orders', 'primary_key', 'id', NULL, CAST(count(*) AS VARCHAR), 'key is null'
-       FROM orders WHERE o_orderkey % 100 = 7 HAVING count(*) > 0""",
+       FROM orders WHERE o_orderkey % 100 = 7 HAVING count(*) > 0
+       UNION ALL
+       SELECT 'orders', 'unique', 'o_custkey,day', o_custkey || '|' || day, CAST(count(*) AS VARCHAR), 'key occurs more than once'
+       FROM (SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders) GROUP BY o_custkey, day HAVING count(*) > 1""",
 )
 def dq_pk(t: Tables) -> DataFrame:
-    orders = t("orders").selectExpr("CASE WHEN o_orderkey % 100 <> 7 THEN o_orderkey END AS id")
+    orders = t("orders").select(
+        F.expr("CASE WHEN o_orderkey % 100 <> 7 THEN o_orderkey END").alias("id"), "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")
+    )
     return quality.union_violations(
         [
-            quality.primary_key(t("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]),
-            quality.primary_key(orders, "orders", ["id"]),
+            key_violations(t("lineitem"), "lineitem", [Key(("l_orderkey", "l_linenumber"), PRIMARY)]),
+            # both keys of a table in one scan and one shuffle
+            key_violations(orders, "orders", [Key(("id",), PRIMARY), Key(("o_custkey", "day"))]),
         ]
     )
 
