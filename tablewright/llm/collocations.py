@@ -46,9 +46,9 @@ from .frames import arrow_stage
 
 LEAST, SCALE, TOP, LONGEST = 30, 2_000_000, 2000, 4
 INSIDE = (100, 80)  # dropped if 100 * f(longer) >= 80 * a
-SLICE = 1 << 20
-BLOCK = 1_000_000  # words of one shard
-CONDENSE = 1_000_000  # arcs of one part that wait for their union
+SLICE = 1 << 19
+BLOCK = 400_000  # words of one shard
+CONDENSE = 500_000  # arcs of one part that wait for their union
 FILTERED = 1 << 22
 PART_WORDS = 1 << 21  # words of the corpus for one part of the automata
 UNKNOWN = "und"
@@ -104,7 +104,7 @@ def word_counts(rows: DataFrame, salt: int) -> DataFrame:
     """`label, lang, word, n`; a language's own row has no word and counts all its words."""
 
     def count(batch: pa.RecordBatch) -> Iterator[dict]:
-        for t, langs, code in scan(batch, salt, 2 * SLICE):
+        for t, langs, code in scan(batch, salt, 4 * SLICE):
             per_text = np.diff(t.found.first)
             of_word = np.repeat(code, per_text)
             label, place, n = np.unique(t.label, return_index=True, return_counts=True)
