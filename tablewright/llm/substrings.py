@@ -16,9 +16,9 @@ No pairs are made.  A block of the scan sends one row per segment, whatever its
 there, so passages, lines and copies that many documents share do not gather in one task; neighbours in
 sorted order tell what repeats.  Fingerprints that decide have 128 bits.
 
-Null and empty texts have no words.  Texts shorter than a window keep every word.  Ids name texts:
-repeated rows (same id and text) repeat each other and lose all windows; rows without an id keep every
-word and are no one's other place.  An empty table gives an empty result.
+Null and empty texts have no words.  Texts shorter than a window keep every word.  Rows are named by
+128 bits of their id and text: an id may name several texts or be null, and repeated rows (same id and text) repeat
+each other and lose all windows.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -95,11 +95,11 @@ def seeds(docs: DataFrame, key: str, text: str) -> DataFrame:
         block: list[dict] = []
         size = 0
         for batch in batches:
-            keys, texts = batch.columns
+            one, two, texts = batch.columns
             for lo, hi, t in W.slices(texts):
                 _, _, s = segments(t)
-                ids = keys.slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.int64)
-                block.append(s | {"id": ids[s["text"]]})
+                own = {k: v.to_numpy(zero_copy_only=False)[lo:hi][s["text"]] for k, v in (("id", one), ("id2", two))}
+                block.append(s | own)
                 size += len(s["at"])
                 if size >= BLOCK:
                     yield flush(block)
@@ -108,7 +108,7 @@ def seeds(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield flush(block)
 
     def flush(block: list[dict]) -> dict:
-        c = {k: np.concatenate([b[k] for b in block]) for k in ("anchor", "s1", "s2", "id", "at", "windows")}
+        c = {k: np.concatenate([b[k] for b in block]) for k in ("anchor", "s1", "s2", "id", "id2", "at", "windows")}
         order = np.lexsort((c["at"], c["s2"], c["s1"], c["anchor"]))
         c = {k: v[order] for k, v in c.items()}
         again = _same(c["anchor"], c["s1"], c["s2"])
@@ -116,9 +116,9 @@ def seeds(docs: DataFrame, key: str, text: str) -> DataFrame:
         many[:-1] |= again[1:]
         # the first of equal segments goes on; all of several are settled
         anchor = pa.array(W.signed(c["anchor"]), mask=again)
-        return {"anchor": anchor, "s1": W.signed(c["s1"]), "s2": W.signed(c["s2"]), "id": c["id"], "at": c["at"].astype(np.int32), "windows": c["windows"].astype(np.int32), "many": many}
+        return {"anchor": anchor, "s1": W.signed(c["s1"]), "s2": W.signed(c["s2"]), "id": c["id"], "id2": c["id2"], "at": c["at"].astype(np.int32), "windows": c["windows"].astype(np.int32), "many": many}
 
-    schema = "anchor long, s1 long, s2 long, id long, at int, windows int, many boolean"
+    schema = "anchor long, s1 long, s2 long, id long, id2 long, at int, windows int, many boolean"
     return arrow_stage(_keyed(docs, key, text), schema, scan, whole=True)
 
 
@@ -126,7 +126,7 @@ def extended(rows: DataFrame) -> DataFrame:
     """Segments that repeat (`open` false) and segments whose windows must be compared (`open` true)."""
     spread = F.coalesce("anchor", F.xxhash64("id", "at"))
     rows = rows.withColumn("spread", spread).repartition("spread").sortWithinPartitions("anchor", "s1", "s2")
-    names = ("anchor", "s1", "s2", "id", "at", "windows", "many")
+    names = ("anchor", "s1", "s2", "id", "id2", "at", "windows", "many")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held = None
@@ -134,7 +134,7 @@ def extended(rows: DataFrame) -> DataFrame:
         for batch in batches:
             settled = batch.filter(batch.column("anchor").is_null())
             if len(settled):
-                yield {"id": settled.column("id"), "at": settled.column("at"), "windows": settled.column("windows"), "open": np.zeros(len(settled), bool)}
+                yield {k: settled.column(k) for k in ("id", "id2", "at", "windows")} | {"open": np.zeros(len(settled), bool)}
             batch = batch.filter(batch.column("anchor").is_valid())
             if not len(batch):
                 continue
@@ -166,34 +166,32 @@ def extended(rows: DataFrame) -> DataFrame:
         take = np.concatenate([np.flatnonzero(done), pick])
         opened = np.zeros(len(take), bool)
         opened[int(done.sum()) :] = True
-        return {"id": c["id"][take], "at": c["at"][take], "windows": c["windows"][take], "open": opened}
+        return {k: c[k][take] for k in ("id", "id2", "at", "windows")} | {"open": opened}
 
-    return arrow_stage(rows, "id long, at int, windows int, open boolean", scan, whole=True)
+    return arrow_stage(rows, "id long, id2 long, at int, windows int, open boolean", scan, whole=True)
 
 
 def windows_of(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """Fingerprints of the windows of the wanted segments, one row per window and block."""
-    lists = wanted.groupBy("id").agg(F.collect_list(F.struct("at", "windows")).alias("spans"))  # of one text
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("t")).join(lists, "id")
-    rows = rows.select("id", "t", F.col("spans.at").alias("at"), F.col("spans.windows").alias("windows"))
+    lists = wanted.groupBy("id", "id2").agg(F.collect_list(F.struct("at", "windows")).alias("spans"))  # of one text
+    rows = _keyed(docs, key, text).join(lists, ["id", "id2"])
+    rows = rows.select("id", "id2", "t", F.col("spans.at").alias("at"), F.col("spans.windows").alias("windows"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         block, size = [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for lo, hi, t in W.slices(batch.column(1)):
+            ids, twos = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for lo, hi, t in W.slices(batch.column(2)):
                 w = W.words(t)
                 hashes = W.hash_ranges(t.data, w.start, w.end)
-                at, count = (batch.column(k).slice(lo, hi - lo) for k in (2, 3))
+                at, count = (batch.column(k).slice(lo, hi - lo) for k in (3, 4))
                 own = np.repeat(np.arange(hi - lo), np.diff(at.offsets.to_numpy()))
                 begin, n = at.flatten().to_numpy(), count.flatten().to_numpy()
                 own = np.repeat(own, n)
                 offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 start = np.repeat(begin, n) + offset
                 real = w.first[own] + start
-                ok = real + LENGTH <= w.first[own + 1]  # always, unless an id names several texts
-                own, start, real = own[ok], start[ok], real[ok]
-                block.append((W.run_hash(W.run_sums(hashes), real, real + LENGTH), W.run_hash(W.run_sums(hashes, 1), real, real + LENGTH), ids[lo:hi][own], start))
+                block.append((W.run_hash(W.run_sums(hashes), real, real + LENGTH), W.run_hash(W.run_sums(hashes, 1), real, real + LENGTH), ids[lo:hi][own], twos[lo:hi][own], start))
                 size += len(real)
                 if size >= BLOCK:
                     yield flush(block)
@@ -202,28 +200,28 @@ def windows_of(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
             yield flush(block)
 
     def flush(block: list[tuple]) -> dict:
-        w1, w2, ids, start = (np.concatenate(x) for x in zip(*block, strict=True))
+        w1, w2, ids, twos, start = (np.concatenate(x) for x in zip(*block, strict=True))
         order = np.lexsort((w2, w1))
-        w1, w2, ids, start = w1[order], w2[order], ids[order], start[order]
+        w1, w2, ids, twos, start = (x[order] for x in (w1, w2, ids, twos, start))
         again = _same(w1, w2)
         many = again.copy()
         many[:-1] |= again[1:]
-        return {"w1": pa.array(W.signed(w1), mask=again), "w2": W.signed(w2), "id": ids, "at": start.astype(np.int32), "many": many}
+        return {"w1": pa.array(W.signed(w1), mask=again), "w2": W.signed(w2), "id": ids, "id2": twos, "at": start.astype(np.int32), "many": many}
 
-    return arrow_stage(rows, "w1 long, w2 long, id long, at int, many boolean", scan, whole=True)
+    return arrow_stage(rows, "w1 long, w2 long, id long, id2 long, at int, many boolean", scan, whole=True)
 
 
 def repeating_windows(rows: DataFrame) -> DataFrame:
-    """`id, at, windows` of single windows that repeat."""
+    """`id, id2, at, windows` of single windows that repeat."""
     rows = rows.withColumn("spread", F.coalesce("w1", F.xxhash64("id", "at"))).repartition("spread").sortWithinPartitions("w1", "w2")
-    names = ("w1", "w2", "id", "at", "many")
+    names = ("w1", "w2", "id", "id2", "at", "many")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held = None
         for batch in batches:
             settled = batch.filter(batch.column("w1").is_null())
             if len(settled):
-                yield {"id": settled.column("id"), "at": settled.column("at"), "windows": np.ones(len(settled), np.int32)}
+                yield {k: settled.column(k) for k in ("id", "id2", "at")} | {"windows": np.ones(len(settled), np.int32)}
             batch = batch.filter(batch.column("w1").is_valid())
             if not len(batch):
                 continue
@@ -242,29 +240,37 @@ def repeating_windows(rows: DataFrame) -> DataFrame:
         head = np.flatnonzero(~again)
         size = np.diff(np.append(head, len(again)))
         done = np.repeat(np.maximum.reduceat(c["many"], head) | (size > 1), size)
-        return {"id": c["id"][done], "at": c["at"][done], "windows": np.ones(int(done.sum()), np.int32)}
+        return {k: c[k][done] for k in ("id", "id2", "at")} | {"windows": np.ones(int(done.sum()), np.int32)}
 
-    return arrow_stage(rows, "id long, at int, windows int", scan, whole=True)
+    return arrow_stage(rows, "id long, id2 long, at int, windows int", scan, whole=True)
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
+    """Rows named by 128 bits of their id and text, so that an id may name several texts, or be null."""
+    one, two, whole = _names(key, text)
+    return docs.select(one.alias("id"), two.alias("id2"), whole.alias("t"))
+
+
+def _names(key: str, text: str) -> tuple[Column, Column, Column]:
+    k, t = F.col(f"`{key}`"), F.col(f"`{text}`")
+    parts = [k.isNull(), k, t.isNull(), t]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(SEED), *parts), t
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`id, spans`: for every id with repeating windows their ranges (`at`, `windows`)."""
-    docs = docs.where(F.col(f"`{key}`").isNotNull())
+    """`id, id2, spans`: for every row name with repeating windows their ranges (`at`, `windows`)."""
     found = materialize(extended(seeds(docs, key, text)), "segments")
     single = materialize(repeating_windows(windows_of(docs, found.where("open"), key, text)), "windows")
-    spans = found.where("not open").select("id", "at", "windows").unionByName(single)
-    return spans.groupBy("id").agg(F.collect_list(F.struct("at", "windows")).alias("spans"))  # of one text
+    spans = found.where("not open").select("id", "id2", "at", "windows").unionByName(single)
+    return spans.groupBy("id", "id2").agg(F.collect_list(F.struct("at", "windows")).alias("spans"))  # of one text
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`id, n_words, n_removed, kept` of every row; `kept` are the other words, joined by one space."""
     found = repeats(docs, key, text)
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("t")).join(found, "id", "left")
-    rows = rows.select("id", "t", F.col("spans.at").alias("at"), F.col("spans.windows").alias("windows"))
+    one, two, whole = _names(key, text)
+    rows = docs.select(F.col(f"`{key}`").alias("key"), one.alias("id"), two.alias("id2"), whole.alias("t")).join(found, ["id", "id2"], "left")
+    rows = rows.select("key", "t", F.col("spans.at").alias("at"), F.col("spans.windows").alias("windows"))
 
     def strip(batch: pa.RecordBatch) -> Iterator[dict]:
         for lo, hi, t in W.slices(batch.column(1)):
