@@ -41,20 +41,21 @@ def private(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents as often as the mix takes them, in its order; a last turn that is cut keeps its first words."""
     ship(spark)
-    rows = docs.select(*COLUMNS, F.xxhash64("text", "lang", "source", "n_chars").alias("row_hash"))
+    # rows are named by 128 bits of all their columns, null told from absent
+    parts = [p for c in COLUMNS for p in (F.col(c).isNull(), F.col(c))]
+    rows = docs.select(*COLUMNS, F.xxhash64(*parts).alias("one"), F.xxhash64(F.lit(10), *parts).alias("two"))
     # queues are made of narrow rows; texts meet them once, at the end
-    sized = rows.select("doc_id", "row_hash", "source", mixing.word_count("text").alias("size"))
+    sized = rows.select("doc_id", "one", "two", "source", mixing.word_count("text").alias("size"))
     turns = mixing.mix(mixing.served(materialize(sized, "sizes")), sort=False)
-    turns = turns.select("doc_id", "row_hash", "size", "words", "virtual_finish", "turn")
+    turns = turns.select("one", "two", "size", "words", "virtual_finish", "turn")
     # a repeated row has turns of its own, and one text serves them all
-    texts = rows.dropDuplicates(["doc_id", "row_hash"])
-    same = turns["doc_id"].eqNullSafe(texts["doc_id"]) & (turns["row_hash"] == texts["row_hash"])
-    served = turns.join(texts, same)
+    texts = rows.dropDuplicates(["one", "two"])
+    served = turns.join(texts, ["one", "two"])
     cut = F.col("words") < F.col("size")
     text = F.when(cut, mixing.first_words("text", "words")).otherwise(F.col("text"))
     length = F.when(cut, F.length(text)).otherwise(F.col("n_chars")).cast("long")
-    ordered = served.orderBy("virtual_finish", F.col("source").asc_nulls_last(), "turn", texts["doc_id"])
-    return ordered.select(texts["doc_id"], text.alias("text"), "lang", "source", length.alias("n_chars"))
+    ordered = served.orderBy("virtual_finish", F.col("source").asc_nulls_last(), "turn", "doc_id", "one", "two")
+    return ordered.select("doc_id", text.alias("text"), "lang", "source", length.alias("n_chars"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
