@@ -72,7 +72,7 @@ def test_large_right_sides_are_shuffled_not_broadcast(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_products_and_no_python_rows(spark, name):
-    if name in ("reset_and_append", "string_source", "domain_run"):
+    if name in ("reset_and_append", "string_source", "domain_run", "load_whole", "ids_after_load", "must_load", "delete_cycle"):
         pytest.skip("writes tables; covered by the storage and domain tests")
     plan = plan_of(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
