@@ -10,7 +10,7 @@ of the next phrase, with the count of phrases it ends.  Documents are cut into s
 (a phrase ends at a cut), and all segments of a slice take a step at once, in all languages.
 
 Labels are read from at most `WINDOWS` windows of `WINDOW_CHARS` characters per language, taken at
-hashed places of hashed documents; this bound only sizes the models.  Every text is parsed whole.
+hashed places of hashed texts; this bound only sizes the models.  Every text is parsed whole.
 
 Null texts and texts without a letter get `und` and score 0.  Equal entropies are settled by the
 order of the language names.  Without any labelled text everything is `und`.  Repeated rows are
@@ -48,18 +48,23 @@ class Models(NamedTuple):
 
 
 def labelled_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, list[str]]:
-    """Windows of labelled text by language, from rows that may teach."""
+    """Windows of labelled text by language, from rows that may teach; equal texts count once, blank ones not at all.
+
+    At most `WINDOWS` rows of a language reach the driver, however often ids or texts repeat.
+    """
     rows = docs.where(F.expr(TEACHING.format(id=f"`{key}`")) & F.col(f"`{lang}`").isNotNull())
-    rows = rows.select(F.col(f"`{lang}`").alias("lang"), F.xxhash64(F.col(f"`{key}`")).alias("h"), F.col(f"`{text}`").alias("t"))
+    rows = rows.where(F.col(f"`{text}`").rlike(r"\S"))
+    rows = rows.select(F.col(f"`{lang}`").alias("lang"), F.xxhash64(F.col(f"`{text}`"), F.lit(WINDOWS)).alias("h"), F.col(f"`{text}`").alias("t"))
     # narrow rows choose first, so no text is sorted; Spark limits each language before its shuffle
-    first = rows.select("lang", "h").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    first = rows.select("lang", "h").withColumn("n", F.dense_rank().over(Window.partitionBy("lang").orderBy("h")))
     cuts = first.where(F.col("n") <= WINDOWS).groupBy("lang").agg(F.max("h").alias("cut"))
     # one row per language, as many as there are models to send anyway
     chosen = rows.join(F.broadcast(cuts), "lang").where(F.col("h") <= F.col("cut"))
     room = F.greatest(F.length("t") - WINDOW_CHARS, F.lit(0)) + 1
     at = (F.pmod(F.xxhash64("t"), room) + 1).cast("int")
     found: dict[str, list[tuple[int, str]]] = {}
-    for r in chosen.select("lang", "h", F.substr("t", at, F.lit(WINDOW_CHARS)).alias("w")).collect():
+    parts = chosen.select("lang", "h", F.substr("t", at, F.lit(WINDOW_CHARS)).alias("w")).groupBy("lang", "h").agg(F.min("w").alias("w"))
+    for r in parts.collect():
         if r["w"]:
             found.setdefault(r["lang"], []).append((r["h"], r["w"]))
     return {k: [w for _, w in sorted(v)[:WINDOWS]] for k, v in sorted(found.items())}

@@ -64,7 +64,7 @@ def features(t: W.Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _feature_sets(rows: DataFrame) -> list[np.ndarray]:
-    """Distinct features of texts, collected: the caller bounds the rows."""
+    """Distinct features of texts, collected in an order of their own: the caller bounds the rows."""
 
     def take(batch: pa.RecordBatch) -> Iterator[dict]:
         for _, _, t in W.slices(batch.column(0)):
@@ -75,7 +75,8 @@ def _feature_sets(rows: DataFrame) -> list[np.ndarray]:
             yield {"ids": pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), values)}
 
     table = arrow_stage(rows, "ids array<int>", take).toArrow()
-    return [np.asarray(x.values) for x in table.column(0).combine_chunks()] if table.num_rows else []
+    sets = [np.asarray(x.values) for x in table.column(0).combine_chunks()] if table.num_rows else []
+    return sorted(sets, key=lambda s: s.tobytes())
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model | None:
@@ -94,6 +95,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # the smallest hashes among all ids that may teach, labelled or not
     some = rows.select("k").orderBy(order, "k").limit(MAX_UNLABELLED).distinct()
     some = rows.join(F.broadcast(some), "k").select("t")
+    # an id may name many rows: equal texts have one vote, and the bounds hold for texts too
+    toxic, some = toxic.dropDuplicates().limit(MAX_POSITIVE), some.dropDuplicates().limit(MAX_UNLABELLED)
     return train(_feature_sets(toxic), _feature_sets(some), prior)
 
 

@@ -81,3 +81,19 @@ def test_mix_takes_what_the_queue_says(spark):
     for r in corpus_pipeline.mixed(spark, frame, "").collect():
         got[r["source"]] += len(WORD.findall(r["text"] or ""))
     assert got == per_source
+
+
+def test_what_reaches_the_driver_is_bounded(spark, monkeypatch):
+    """One id that names very many rows: windows and training texts stay within their bounds."""
+    from tablewright.llm import language, toxicity
+
+    rows = spark.range(20_000).selectExpr("7L AS doc_id", "concat('some words ', id % 9000, ' and more') AS text", "'en' AS lang")
+    blank = spark.range(500).selectExpr("7L AS doc_id", "' ' AS text", "'en' AS lang")
+    few = spark.createDataFrame([(7, "ein anderer Text", "de")] * 300, "doc_id long, text string, lang string")
+    windows = language.labelled_windows(rows.union(blank).union(few))
+    assert len(windows["en"]) == language.WINDOWS and windows["de"] == ["ein anderer Text"]
+    sizes, real = [], toxicity._feature_sets
+    monkeypatch.setattr(toxicity, "_feature_sets", lambda df: sizes.append(len(found := real(df))) or found)
+    labels = spark.createDataFrame([(7, 1), (7, 0)], "doc_id long, toxic int")
+    toxicity.fit(rows, labels)
+    assert sizes == [toxicity.MAX_POSITIVE, toxicity.MAX_UNLABELLED]
