@@ -12,14 +12,17 @@ Spans count code points, end exclusive.  Null and empty texts have none.  Repeat
 searched; an empty table gives an empty result; other columns pass through `masked` unchanged.
 
 Each pattern is linear in the text: emails are found from their `@` outwards, ip matches begin where a
-run of digits begins (a match can begin nowhere else), and the others consume a run once.
+run of digits begins (a match can begin nowhere else), and the others consume a run once.  Extra spans find
+the spans they may repeat by bisection.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -124,7 +127,8 @@ EXTRA: list[tuple[str, re.Pattern, float, Callable[[str], bool] | None]] = [
 _ASSIGNED = ("secret", re.compile(r"(?:password|passwd|secret|token|api[_-]?key)[\"']?[ ]{0,3}[:=][ ]{0,3}[\"']?([^\s\"']{6,})", re.I), 0.2,
              lambda s: _HAS_DIGIT.search(s) is not None)
 _HAS_DIGIT = re.compile(r"[0-9]")
-_NO_MARK = re.compile(r"[^\W_]")
+_HEX_LETTERS = re.compile(r"[a-f]{32}")
+_MARK = re.compile(r"[^\W_]")
 _OWN_PREFIX = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
 _EXTRA_ORDER = ("iban", "ssn", "secret")
 
@@ -135,6 +139,19 @@ def context(text: str, kind: str, start: int, end: int) -> float:
     return 0.3 if any(w.lower().startswith(words) for w in _NEAR.findall(near)) else 0.0
 
 
+def repeats(text: str, start: int, end: int, taken: tuple[list[int], list[int]]) -> bool:
+    """Whether one of the spans taken, apart and in order, covers all letters and digits from `start` to `end`."""
+    mark = _MARK.search(text, start, end)
+    first = mark.start() if mark else end
+    k = bisect_right(taken[1], start)
+    # a span that begins behind the first of them cannot cover it
+    while k < len(taken[0]) and taken[0][k] < end and taken[0][k] <= first:
+        if _MARK.search(text, max(start, taken[1][k]), end) is None:
+            return True
+        k += 1
+    return False
+
+
 def find(text: str) -> list[Span]:
     """All spans of a text, base kinds first, each kind by start."""
     spans = []
@@ -142,11 +159,14 @@ def find(text: str) -> list[Span]:
         for start, end in FINDERS[kind](text):
             spans.append(Span(kind, start, end, min(1.0, CHECKED[kind] + context(text, kind, start, end))))
     base = sorted((s.start, s.end) for s in spans)
-    # nearly all of these hold a digit, so most texts need no further search
-    likely = _HAS_DIGIT.search(text) or any(p in text for p in _OWN_PREFIX)
+    starts = [a for a, _ in base]
+    reach = list(accumulate((b for _, b in base), max))  # the furthest end up to here
+    # all of these hold a digit, a prefix of their own or a long run of hexadecimal letters
+    likely = _HAS_DIGIT.search(text) or any(p in text for p in _OWN_PREFIX) or _HEX_LETTERS.search(text)
     rules = [*(EXTRA if likely else ()), *([_ASSIGNED] if "=" in text or ":" in text else ())]
-    taken: list[tuple[int, int]] = []  # by extra spans
+    taken: list[tuple[list[int], list[int]]] = []  # starts and ends by rule; those of one rule are apart and in order
     for kind, pattern, score, check in rules:
+        own: tuple[list[int], list[int]] = ([], [])
         for m in pattern.finditer(text):
             start, end = m.span(m.lastindex)
             value = text[start:end]
@@ -156,12 +176,14 @@ def find(text: str) -> list[Span]:
                     continue
                 worth += 0.5
             worth = min(1.0, worth + context(text, kind, start, end))
-            if worth < THRESHOLD or any(a <= start and end <= b for a, b in base):
+            before = bisect_right(starts, start)
+            if worth < THRESHOLD or before and end <= reach[before - 1]:
                 continue
-            near = [(a, b) for a, b in taken if a < end and start < b]
-            if not any(_NO_MARK.search(text[start:a] + text[max(start, b) : end]) is None for a, b in near):
+            if not any(repeats(text, start, end, spans_of) for spans_of in taken):
                 spans.append(Span(kind, start, end, worth))
-                taken.append((start, end))
+                own[0].append(start)
+                own[1].append(end)
+        taken.append(own)
     extra = len(base)
     spans[extra:] = sorted(spans[extra:], key=lambda s: (_EXTRA_ORDER.index(s.kind), s.start))
     return spans
