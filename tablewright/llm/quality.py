@@ -155,9 +155,13 @@ def passes(texts: pa.Array, order: Sequence[str]) -> np.ndarray:
 
 
 def plan(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
-    """Names of all rules, by rejection per cost on a sample of at most `rows` texts."""
-    value = F.col(f"`{text}`")
-    sample = docs.select(value.alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(16)) == 0).limit(rows)
+    """Names of all rules, by rejection per cost on a sample of about `rows` texts.
+
+    Rows are drawn where they are stored, with a chance of `rows` over their number: nothing is shuffled, and
+    copies of one text are drawn one by one.
+    """
+    chance = min(1.0, rows / max(docs.count(), 1))
+    sample = docs.select(F.col(f"`{text}`").alias("t")).sample(chance, seed=rows)
 
     def time_rules(batch: pa.RecordBatch) -> Iterator[dict]:
         for name, rule in RULES.items():
