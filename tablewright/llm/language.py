@@ -9,6 +9,10 @@ The automata are dense transition tables in which a failing step already leads o
 of the next phrase, with the count of phrases it ends.  Documents are cut into segments of `SEGMENT` symbols
 (a phrase ends at a cut), and all segments of a slice take a step at once, in all languages.
 
+Every language has symbols for its own letters, at most `MAX_LETTERS`; further ones of its text are one symbol,
+and letters it lacks another, which ends a phrase.  Where the tables of all languages would pass `MAX_CELLS`,
+all are learned from fewer windows.
+
 Labels are read from at most `WINDOWS` windows of `WINDOW_CHARS` characters per language, taken at
 hashed places of hashed texts; this bound only sizes the models.  Every text is parsed whole.
 
@@ -33,16 +37,18 @@ from .words import slices
 
 WINDOWS, WINDOW_CHARS = 64, 256
 SEGMENT = 1024
-MAX_LETTERS = 254
+MAX_LETTERS = 254  # of one language
+MAX_CELLS = 1 << 27  # of all tables, half a GB
 EVIDENCE = 64  # symbols that count for the score; more would only push it to 1
 _PHRASE = 29  # bits above hold the phrases that a step ends
-_SPACE, _RARE = 0, 1
+_SPACE, _FOREIGN, _RARE = 0, 1, 2
 
 
 class Models(NamedTuple):
     names: list[str]
-    letters: str  # letters with a symbol of their own, from symbol 2 on
-    table: np.ndarray  # [state * symbols + symbol] -> next state * symbols, with the flag
+    letters: str  # of all languages; symbols from 2 on
+    local: np.ndarray  # [language, symbol] -> symbol in the table of the language
+    table: np.ndarray  # [state + local symbol] -> next state, with the flag; a state is the cell where its row begins
     roots: np.ndarray
     bits: np.ndarray  # log2 of the labelled text's size, by language
 
@@ -103,32 +109,57 @@ def automaton(symbols: list[int], size: int) -> np.ndarray:
     return table
 
 
+def alphabet(text: str) -> list[str]:
+    """The commonest letters first."""
+    counts = Counter(c for c in text if c.isalpha())
+    return [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
+
+
+def joined(windows: dict[str, list[str]]) -> dict[str, str]:
+    """Text to learn by language, from as many windows as `MAX_CELLS` has room for."""
+    count = max(map(len, windows.values()), default=0)
+    while True:
+        texts = {name: " ".join(parts[:count]).lower() for name, parts in windows.items()}
+        # an automaton has at most two states a symbol
+        cells = sum(2 * len(t) * (min(len(set(t)), MAX_LETTERS) + 3) for t in texts.values())
+        if cells <= MAX_CELLS:
+            return texts
+        if count == 1:
+            raise ValueError(f"{len(texts)} languages need {cells} cells, more than {MAX_CELLS}")
+        count //= 2
+
+
 def train(windows: dict[str, list[str]]) -> Models:
-    texts = {name: " ".join(parts).lower() for name, parts in windows.items()}
-    counts = Counter(c for t in texts.values() for c in t if c.isalpha())
-    letters = "".join(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS])
-    size = len(letters) + 2
+    texts = joined(windows)
+    own = {name: alphabet(t) for name, t in texts.items()}
+    letters = "".join(sorted({c for found in own.values() for c in found}))
+    place = {c: i + 2 for i, c in enumerate(letters)}
     codes = symbol_table(letters)
+    local = np.full((len(texts), len(letters) + 2), _FOREIGN, np.int32)
+    local[:, _SPACE] = _SPACE
     tables, roots, bits, base = [], [], [], 0
-    for t in texts.values():
-        symbols = to_symbols(np.frombuffer(t.encode("utf-32-le"), np.uint32), codes)
+    for i, (name, t) in enumerate(texts.items()):
+        for k, c in enumerate(own[name]):
+            local[i, place[c]] = k + 3 if k < MAX_LETTERS else _RARE
+        size = min(len(own[name]), MAX_LETTERS) + 3
+        symbols = local[i, to_symbols(np.frombuffer(t.encode("utf-32-le"), np.uint32), codes)]
         arrows = automaton(symbols.tolist(), size)
         root = arrows[0]
         # a failing step ends a phrase and begins the next with its symbol; one that the language lacks
         # is a phrase of its own
         ended = np.where(root >= 0, 1, 2) - (np.arange(len(arrows)) == 0)[:, None]
-        step = (np.where(arrows >= 0, arrows, np.maximum(root, 0)) + base) * size
+        step = np.where(arrows >= 0, arrows, np.maximum(root, 0)) * size + base
         tables.append((step + np.where(arrows >= 0, 0, ended << _PHRASE)).astype(np.int32).ravel())
-        roots.append(base * size)
+        roots.append(base)
         bits.append(np.log2(max(len(symbols), 2)))
-        base += len(arrows)
+        base += arrows.size
     table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-    return Models(list(texts), letters, table, np.array(roots, np.int32), np.array(bits))
+    return Models(list(texts), letters, local, table, np.array(roots, np.int32), np.array(bits))
 
 
 def symbol_table(letters: str) -> np.ndarray:
     """Symbol of every code point: 0 for what is no letter, 1 for letters outside the models."""
-    codes = np.array([_RARE if chr(c).isalpha() else _SPACE for c in range(0x110000)], np.uint8)
+    codes = np.array([_FOREIGN if chr(c).isalpha() else _SPACE for c in range(0x110000)], np.int32)
     for i, c in enumerate(letters):
         codes[ord(c)] = i + 2
         if len(c.upper()) == 1 and c.upper().lower() == c:
@@ -165,7 +196,7 @@ def parse(parts: list[np.ndarray], models: Models) -> np.ndarray:
     state = np.repeat(models.roots[:, None], len(order), 1)
     phrases = np.zeros(state.shape, np.int32)
     for i, a in enumerate(active):
-        step = models.table.take(state[:, :a] + lanes[i, :a])
+        step = models.table.take(state[:, :a] + models.local.take(lanes[i, :a], 1))
         phrases[:, :a] += step >> _PHRASE
         state[:, :a] = step & ((1 << _PHRASE) - 1)
     phrases += state != models.roots[:, None]  # the end of a segment ends its last phrase
@@ -175,7 +206,7 @@ def parse(parts: list[np.ndarray], models: Models) -> np.ndarray:
 
 def identify(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Predicted language of every text with a score between 0 and 1, and its entropy in bits."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # a fixed size per language
+    shared = docs.sparkSession.sparkContext.broadcast(models)  # at most MAX_CELLS
     cache: dict[str, np.ndarray] = {}
 
     def predict(batch: pa.RecordBatch) -> Iterator[dict]:
