@@ -15,8 +15,8 @@ Shards hold at most `SHARD` vectors and there are at least `SHARDS`; since every
 every shard's graph, work grows with vectors times shards.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of
-different lengths do not link, nor do rows without an id.  Equal vectors link with each other.  An empty table gives
-an empty result.
+different lengths do not link, nor do rows without an id.  Equal vectors link with each other.  An id that names
+several vectors has the links of each in the row of that vector.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -326,12 +326,13 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     rows = rows.withColumn("v", F.when(usable, v))
     # -0.0 and 0.0 are the same component: adding 0.0 makes them equal
     rows = rows.withColumn("v", F.transform("v", lambda c: c + F.lit(0.0).cast("float")))
-    nodes = rows.where("v is not null and id is not null").groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    nodes = materialize(nodes, "vectors")
+    nodes = rows.where("v is not null and id is not null").groupBy("v").agg(F.min("id").alias("low"), F.count("*").alias("copies"))
+    # nodes are vectors, named when they are written: an id may have several
+    nodes = materialize(nodes.withColumn("rep", F.monotonically_increasing_id()), "vectors")
     count = nodes.count()
     shards = max(SHARDS, -(-count // SHARD))
     # only vectors of one length meet in a graph
-    shard = F.pmod(F.xxhash64("rep"), F.lit(shards)) + F.lit(shards) * F.size("v")
+    shard = F.pmod(F.xxhash64("v"), F.lit(shards)) + F.lit(shards) * F.size("v")
     members = nodes.select(shard.alias("shard"), F.lit(False).alias("ask"), "rep", "copies", "v")
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s")
     queries = nodes.select("rep", "copies", "v", every)
@@ -340,9 +341,11 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     found = materialize(search_shards(dealt, threshold), "links")
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
-    nodes = nodes.join(links, "rep", "left").join(roots, "rep", "left")
-    own = rows.withColumn("v", F.when(F.col("id").isNotNull(), F.col("v"))).join(nodes, "v", "left")
-    return own.select(
-        "id", F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).alias("n_links"),
-        F.coalesce("root", "rep", "id").alias("component"),
+    lowest = nodes.select("rep", "low").join(roots, "rep").groupBy("root").agg(F.min("low").alias("least"))
+    nodes = nodes.join(links, "rep", "left").join(roots, "rep", "left").join(lowest, "root", "left")
+    own = rows.where("v is not null and id is not null").join(nodes, "v").select(
+        "id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("least", "low").alias("component")
     )
+    # rows that link with nothing meet no join, where they would share one key
+    alone = rows.where("v is null or id is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    return own.union(alone)
