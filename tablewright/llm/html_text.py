@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -51,6 +52,11 @@ OTHER_NAMES = frozenset(
     "overlay newsletter subscribe subscription signup share sharing social related recommended recommendations "
     "comment comments commentlist reply replies respond disqus discussion widget pagination pager toolbar copyright login search".split()
 )
+# what a section of an article may be about as well
+TOPICS = frozenset(
+    "adverts advertising promotion menu navigation header footer cookie cookies consent gdpr notice notices alert alerts banner "
+    "share sharing social related discussion login search copyright subscription newsletter".split()
+)
 CONTENT_NAMES = frozenset("article content main post entry story body articlebody maincontent".split())
 
 _TOKEN = re.compile(
@@ -124,10 +130,41 @@ LABELLED = """
   7 0.00  90 0.00  77 0.00 0 1 0
  14 0.00  35 0.00  66 0.00 0 0 0
   1 1.00  70 0.00  95 0.00 0 0 0
+  5 0.00   0 0.00   0 0.00 1 0 1
+  1 0.00   0 0.00   3 0.00 1 1 1
+  3 0.00   1 0.00   3 0.00 1 0 1
+  3 0.00   3 0.00   0 0.00 1 0 1
+  8 0.00   5 0.00   0 0.00 1 0 1
+ 11 0.00   7 0.00   9 0.00 1 0 1
+  6 0.00   4 0.00   0 0.00 1 0 1
   4 0.00   1 0.00   3 0.00 2 0 1
  17 0.00   5 0.00  11 0.00 2 0 1
   6 1.00   4 1.00   5 1.00 2 0 1
  10 0.00   2 0.00   1 1.00 2 0 1
+  1 0.00   1 1.00   1 0.00 2 0 1
+  1 0.00   1 1.00   2 1.00 2 0 1
+  2 0.00   5 1.00   3 1.00 2 0 1
+  3 0.00  12 0.90   1 1.00 2 1 1
+  5 0.00   2 1.00   1 1.00 2 0 1
+  4 0.50   3 1.00   6 1.00 2 0 1
+  6 0.00  30 0.00   3 1.00 2 0 1
+  5 0.00  12 0.00   4 1.00 2 0 1
+  7 0.00  50 0.00   5 1.00 2 0 1
+  5 0.00  50 0.00   1 1.00 2 0 1
+  4 0.00  66 0.00   3 1.00 2 0 1
+  3 0.00  80 0.00   1 1.00 2 0 1
+ 34 0.00  18 0.00  62 0.00 2 0 1
+  6 0.00  51 0.00  16 0.00 2 0 1
+ 16 0.00  22 0.00  71 0.00 2 0 1
+ 25 0.00  23 0.00   9 0.00 2 0 1
+ 11 0.00   7 0.00  37 0.00 2 1 1
+  3 0.00  25 0.00  16 0.00 2 0 1
+  7 0.00   1 1.00   2 0.00 0 0 0
+  1 1.00   1 1.00   8 0.00 0 0 0
+ 12 0.00   1 1.00   3 0.00 0 0 0
+ 11 0.00   5 0.00   0 0.00 0 0 0
+ 15 0.00  64 0.00   0 0.00 0 0 0
+  9 0.00   9 0.00   0 0.00 0 0 0
 """
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "zone", "heading")
 DEPTH = 6
@@ -141,8 +178,12 @@ class Block(NamedTuple):
     heading: bool
 
 
-def zone_of(tag: str, attributes: str) -> int | None:
-    """2, 0, or None if the element says nothing."""
+def zone_of(tag: str, attributes: str, inside: int = 1) -> int | None:
+    """2, 0, or None if the element says nothing.
+
+    Inside an article, the class or id of a paragraph, heading or other leaf names what it is about, and the id
+    of a section may.
+    """
     if tag in CONTENT_TAGS:
         return 2
     if tag in OTHER_TAGS:
@@ -159,9 +200,12 @@ def zone_of(tag: str, attributes: str) -> int | None:
                 return 0
             found = 2 if value in ("main", "article") else found
         elif name in ("class", "id"):
+            if inside == 2 and tag in LEAF_TAGS:
+                continue
+            others = OTHER_NAMES - TOPICS if inside == 2 and tag == "section" and name == "id" else OTHER_NAMES
             for word in value.split():
                 parts = _NAME.findall(word)
-                if parts and parts[0] not in ("has", "with", "no", "without") and OTHER_NAMES.intersection(parts):
+                if parts and parts[0] not in ("has", "with", "no", "without") and others.intersection(parts):
                     return 0
                 if CONTENT_NAMES.intersection(parts):
                     found = 2
@@ -187,6 +231,7 @@ def bare_elements(page: str) -> dict[int, int]:
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int, bool]] = []  # open container, zone inside, was that said by a tag
+    opened: Counter[str] = Counter()  # containers of the stack
     parts: list[str] = []
     linked: list[str] = []
     in_link = False
@@ -238,20 +283,22 @@ def blocks(page: str) -> list[Block]:
             leaf = (None, False)
             if tag in LEAF_TAGS:
                 if not closing:
-                    leaf = (zone_of(tag, attributes), tag in HEADINGS)
+                    leaf = (zone_of(tag, attributes, zone), tag in HEADINGS)
             elif closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
+                while opened[tag]:  # a stray end tag closes nothing and looks at nothing
+                    inner_tag = stack.pop()[0]
+                    opened[inner_tag] -= 1
+                    if inner_tag == tag:
                         break
             elif not attributes.endswith("/"):
-                said = zone_of(tag, attributes)
+                said = zone_of(tag, attributes, zone)
                 inner, firm = zone, by_tag
                 if said == 2 and not (zone == 0 and by_tag):
                     inner, firm = 2, tag in CONTENT_TAGS
                 elif said == 0 and not (tag == "header" and zone == 2):
                     inner, firm = 0, tag in OTHER_TAGS
                 stack.append((tag, inner, firm))
+                opened[tag] += 1
             zone, by_tag = stack[-1][1:] if stack else (1, False)
     if done < len(page):
         parts.append(html.unescape(page[done:]))
