@@ -73,7 +73,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("pack", packed),
 ]
 
-# Component search and a tokenizer are not SQL; tests hold the rows against brute force.
+# Component search and a tokenizer are not SQL; tests hold each stage and the whole run against brute force.
 ORACLE_SQL = None
 
 
