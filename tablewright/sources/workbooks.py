@@ -1,7 +1,8 @@
 """Many spreadsheet workbooks at once: Spark distributes the files, a task reads one at a time.
 
-Files are fetched by Spark's binary source, so any file system a cluster mounts works.  Each row
-comes out as a map from header to text, which keeps one schema for sheets of any shape.
+Files are fetched by Spark's binary source, so any file system Spark knows works.  Each row
+comes out as a map from header to text, which keeps one schema for sheets of any shape.  `workbook_source`
+gives the same rows sheet by sheet, without a file in memory.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import re
 import zipfile
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -134,29 +136,31 @@ def _column_names(header: dict[int, str | None], width: int, names: list[str]) -
     return names
 
 
+def _sheet_rows(book: zipfile.ZipFile, part: str, shared: list[str], dates: set[int]) -> Iterator[tuple[int, dict]]:
+    """(row number, cells by column name) of one sheet; rows 0 name the columns, also those found later."""
+    header, names = None, []
+    for number, row in enumerate(_rows(book, part, shared, dates)):
+        width = max(row, default=-1) + 1
+        if header is None:
+            header = row
+            # row 0 keeps the header, so that sheets without rows keep their columns
+            names = _column_names(header, width, names)
+            yield 0, dict.fromkeys(names)
+            continue
+        if width > len(names):  # cells beyond the header are columns too
+            names = _column_names(header, width, names)
+            yield 0, dict.fromkeys(names)
+        yield number, {name: row.get(i) for i, name in enumerate(names)}
+
+
 def _read_file(path: str, content: bytes, exclude: tuple[str, ...], batch: int) -> Iterator[pd.DataFrame]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = _shared_strings(book)
         dates = _date_styles(book)
         parts = dict(_sheets(book))
         for sheet in select_tables(parts, exclude):
-            header, names, out = None, [], []
-            for number, row in enumerate(_rows(book, parts[sheet], shared, dates)):
-                width = max(row, default=-1) + 1
-                if header is None:
-                    header = row
-                    # row 0 keeps the header, so that sheets without rows keep their columns
-                    names = _column_names(header, width, names)
-                    out.append((path, sheet, 0, dict.fromkeys(names)))
-                    continue
-                if width > len(names):  # cells beyond the header are columns too
-                    names = _column_names(header, width, names)
-                    out.append((path, sheet, 0, dict.fromkeys(names)))
-                out.append((path, sheet, number, {name: row.get(i) for i, name in enumerate(names)}))
-                if len(out) >= batch:
-                    yield pd.DataFrame(out, columns=["path", "sheet", "row", "cells"])
-                    out = []
-            if out:
+            rows = _sheet_rows(book, parts[sheet], shared, dates)
+            while out := [(path, sheet, number, cells) for number, cells in islice(rows, batch)]:
                 yield pd.DataFrame(out, columns=["path", "sheet", "row", "cells"])
 
 

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ from tablewright.session import scratch_path
 from tablewright.sources import sinks
 from tablewright.sources.sinks import Target
 from tablewright.sources.text_tables import extract, extract_tables
+from tablewright.sources.workbook_source import file_system, read_sheets, register
 from tablewright.sources.workbooks import parse_workbooks, sheet_table
 
 from .registry import Tables, query
@@ -160,3 +162,36 @@ def workbooks(t: Tables) -> DataFrame:
     cells = parse_workbooks(files, exclude=["LOG"])
     table = sheet_table(cells, "PROVEEDORES", ["id", "nombre", "nombre.1", "Unnamed: 3", "Unnamed: 4"])
     return table.toDF("_ord", "id", "nombre", "second_name", "unnamed", "beyond").drop("_ord")
+
+
+def _write_workbooks(folder: str):
+    """Workbooks of the rows of a task, as files of a shared folder; a repeated task writes the same names again."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, inner = file_system(folder)
+        task = TaskContext.get().partitionId()
+        for number, frame in enumerate(batches):
+            rows = [[str(k), name] for k, name in frame.itertuples(index=False)]
+            sheets = {"CLIENTES": [["id", "nombre"], *rows], "CLAVES": [["id"], *[r[:1] for r in rows]], "LOG": [["id"], ["1"]]}
+            name = f"{inner}/{task}-{number}.xlsx"
+            with system.open_output_stream(name) as out:
+                out.write(workbook_bytes(sheets))
+            yield pd.DataFrame({"file": [name]})
+
+    return write
+
+
+@query(
+    "workbook_files",
+    """SELECT 'CLIENTES' AS sheet, CAST(c_custkey AS VARCHAR) AS id, c_name AS nombre FROM customer
+       UNION ALL SELECT 'CLAVES', CAST(c_custkey AS VARCHAR), NULL FROM customer""",
+)
+def workbook_files(t: Tables) -> DataFrame:
+    """Customers written as workbook files by the tasks, and read through the data source, one task a sheet."""
+    folder = scratch_path(t.spark, "workbooks")
+    register(t.spark)
+    system, inner = file_system(folder)
+    system.create_dir(inner, recursive=True)
+    t("customer").select("c_custkey", "c_name").mapInPandas(_write_workbooks(folder), "file string").count()
+    cells = read_sheets(t.spark, folder, exclude=("LOG",)).where("row > 0")
+    return cells.select("sheet", F.element_at("cells", "id").alias("id"), F.try_element_at("cells", F.lit("nombre")).alias("nombre"))
