@@ -1,7 +1,9 @@
 """Near-duplicate vectors: a navigable small-world graph per shard, all shards asked.
 
-Vectors are dealt to shards; a task builds the layered graph of its shard and then streams every vector
-past it.  A search descends greedily through the sparse layers and ends with a beam in the full one.
+Vectors are dealt to shards; a task builds and audits the layered graph of its shard, which is written as a
+table of nodes with their links.  Searches are tasks of their own, one for each shard and block of queries, so
+their number grows with the table.  A search descends greedily through the sparse layers and ends with a beam in
+the full one.
 The beam is widened until an audit passes (a sample of the shard's own vectors must find
 nearly all their brute-force neighbours above the threshold), and widened again for each query whose hits fill
 half of it, up to `WIDEST`; what fills that is compared with the whole shard in blocks, so a group of any
@@ -21,6 +23,7 @@ several vectors has the links of each in the row of that vector.  An empty table
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +35,20 @@ from ..session import materialize
 from .components import components
 from .frames import arrow_stage
 
+LOG = logging.getLogger(__name__)
+
 THRESHOLD = 0.95
 SHARD, SHARDS = 100_000, 6
+ASKED = 25_000  # queries of a search task, about
+TASKS = 20_000  # of a search; beyond, one takes several blocks in turn
 DEGREE = 12  # links of a node in the upper layers; twice that in the lowest
 BUILD_BEAM, FIRST_BEAM = 48, 32
+AT_ONCE = 4  # nodes of a beam that one step expands
 BLOCK = 512
 WIDEST = 1024  # of the beams; beyond, a query is compared with every node
 EDGES = 1_000_000  # of a batch, before they are thinned to a forest
 PAIRS = 2_000_000  # of queries and nodes at once
+ROWS = 4_096  # nodes written at once
 AUDIT, AUDIT_BLOCKS, MIN_RECALL = 256, 16, 0.995
 
 
@@ -63,6 +72,33 @@ class Graph:
             self._insert(done, more)
             done = more
 
+    @classmethod
+    def of_links(cls, x: np.ndarray, links: np.ndarray, ends: np.ndarray) -> Graph:
+        """The graph again from its vectors in node order and its `adjacency`."""
+        graph = cls.__new__(cls)
+        starts = np.append(0, ends[:-1])
+        upper = (ends - starts - 2 * DEGREE) // DEGREE  # layers of a node above the lowest
+        graph.order, graph.x = np.arange(len(x)), np.ascontiguousarray(x, np.float32)
+        graph.sizes = [int((upper >= level).sum()) for level in range(int(upper[0]) + 1)]
+        graph.links = []
+        for level, n in enumerate(graph.sizes):
+            skip = DEGREE * (level + 1) if level else 0
+            width = DEGREE * (1 if level else 2)
+            graph.links.append(links[(starts[:n] + skip)[:, None] + np.arange(width)].astype(np.int32))
+        return graph
+
+    def adjacency(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """The links of nodes `a` to `b`, lowest layer first, each layer padded with -1, and where each node's end."""
+        layers = sum(np.arange(a, b) < n for n in self.sizes)
+        ends = np.cumsum(DEGREE * (layers + 1))
+        links = np.full(int(ends[-1]), -1, np.int32)
+        for level, n in enumerate(self.sizes):
+            if (here := min(b, n) - a) > 0:
+                at = np.append(0, ends[: here - 1]) + (DEGREE * (level + 1) if level else 0)
+                part = self.links[level][a : a + here]
+                links[at[:, None] + np.arange(part.shape[1])] = part
+        return links, ends
+
     def _insert(self, a: int, b: int) -> None:
         entry, q = None, self.x[a:b]
         for level in range(len(self.sizes) - 1, -1, -1):
@@ -95,7 +131,7 @@ class Graph:
         order = np.argsort(-near, axis=1, kind="stable")[:, : 3 * most]
         ids, near = np.take_along_axis(ids, order, 1), np.take_along_axis(near, order, 1)
         x = np.take_along_axis(x, order[:, :, None], 1)
-        between = np.einsum("bcd,bed->bce", x, x)
+        between = x @ x.transpose(0, 2, 1)
         chosen = np.zeros(ids.shape, bool)
         for j in range(ids.shape[1]):
             hidden = (chosen[:, :j] & (between[:, j, :j] > near[:, j, None])).any(1)
@@ -119,10 +155,15 @@ class Graph:
         fresh[np.searchsorted(names, v[fits]), place[fits]] = u[fits]
         have = self.links[level][names]
         fresh[(fresh[:, :, None] == have[:, None, :]).any(2)] = -1  # linked from both sides
+        # a node with room takes its new links as they are; others choose anew
+        both = np.concatenate([have, fresh], 1)
+        both = np.take_along_axis(both, np.argsort(both < 0, axis=1, kind="stable"), 1)
+        room = (both >= 0).sum(1) <= width
+        self.links[level][names[room]] = both[room, :width]
+        names, both = names[~room], both[~room]
         for lo in range(0, len(names), BLOCK):
             part = slice(lo, lo + BLOCK)
-            both = np.concatenate([have[part], fresh[part]], 1)
-            kept = self._select(self.x[names[part]], both, width)
+            kept = self._select(self.x[names[part]], both[part], width)
             self.links[level][names[part], : kept.shape[1]] = kept
 
     def _beam(self, level: int, q: np.ndarray, entry: np.ndarray | None, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,24 +181,30 @@ class Graph:
         np.put_along_axis(seen, np.where(ids[:, :e] >= 0, ids[:, :e], n), True, 1)
         open_ = ids >= 0
         live = np.arange(rows)
+        step = min(AT_ONCE, width)
         while len(live):
             score = np.where(open_[live], near[live], -4.0)
-            pick = score.argmax(1)
-            going = score[np.arange(len(live)), pick] > -3.5
-            live, pick = live[going], pick[going]
+            pick = np.argpartition(-score, step - 1, axis=1)[:, :step] if step < width else np.tile(np.arange(width), (len(live), 1))
+            good = np.take_along_axis(score, pick, 1) > -3.5
+            going = good.any(1)
+            live, pick, good = live[going], pick[going], good[going]
             if not len(live):
                 break
-            open_[live, pick] = False
-            nodes = self.links[level][ids[live, pick]]
-            nodes = np.where(nodes >= 0, nodes, n)
-            new = ~seen[live[:, None], nodes]
-            r, c = np.nonzero(new)
+            open_[live[:, None], pick] = False
+            nodes = self.links[level][ids[live[:, None], pick]]
+            nodes = np.where(good[:, :, None] & (nodes >= 0), nodes, n).reshape(len(live), -1)
+            r, c = np.nonzero(~seen[live[:, None], nodes])
             if not len(r):
                 continue
-            found = nodes[r, c]
+            # nodes expanded together may share links
+            named = r * (n + 1) + nodes[r, c]
+            named.sort()
+            named = named[np.append(True, named[1:] != named[:-1])]
+            r, found = np.divmod(named, n + 1)
             seen[live[r], found] = True
             got = np.einsum("ij,ij->i", self.x[found], q[live[r]])
-            place = np.cumsum(new, 1)[r, c] - 1
+            first = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+            place = np.arange(len(r)) - np.repeat(first, np.diff(np.append(first, len(r))))
             extra = int(place.max()) + 1
             some = np.unique(r)
             slot = np.searchsorted(some, r)
@@ -254,33 +301,86 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+GRAPH = "shard int, node int, rep long, copies long, v {v}, links array<int>, width int, recall double"
+
+
+def lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of an Arrow column of lists, and where each list starts and ends."""
+    cut = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False), cut
+
+
+def unit(flat: np.ndarray, rows: int) -> np.ndarray:
+    """Vectors of length 1, in double precision."""
+    x = flat.astype(np.float64).reshape(rows, -1)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def graphs(members: DataFrame, threshold: float) -> DataFrame:
+    """The graph of every shard as a table of nodes in the order of `Graph`, with the beam that its audit chose and
+    the recall measured with it, from rows `shard, rep, copies, v` that come shard by shard."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        shard, parts = None, []
+        for batch in batches:
+            names, rep, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "rep", "copies"))
+            flat, cut = lists(batch.column("v"))
+            change = np.flatnonzero(names[1:] != names[:-1]) + 1
+            for lo, hi in zip([0, *change], [*change, len(names)], strict=True):
+                if names[lo] != shard:
+                    yield from written(shard, parts)
+                    shard, parts = names[lo], []
+                # what an Arrow batch holds ends with it
+                parts.append((flat[cut[lo] : cut[hi]].reshape(hi - lo, -1).copy(), rep[lo:hi].copy(), copies[lo:hi].copy()))
+        yield from written(shard, parts)
+
+    def written(shard: int | None, parts: list) -> Iterator[dict]:
+        if not parts:
+            return
+        v, rep, copies = (np.concatenate(p) for p in zip(*parts, strict=True))
+        graph = Graph(unit(v, len(v)))
+        width, recall = audited_beam(graph, threshold)
+        for lo in range(0, len(v), ROWS):
+            here = graph.order[lo : lo + ROWS]
+            links, ends = graph.adjacency(lo, lo + len(here))
+            ends = np.append(0, ends).astype(np.int32)
+            starts = np.arange(0, v[here].size + 1, v.shape[1], dtype=np.int32)
+            yield {
+                "shard": np.full(len(here), shard), "node": np.arange(lo, lo + len(here)), "rep": rep[here], "copies": copies[here],
+                "v": pa.ListArray.from_arrays(starts, v[here].ravel()), "links": pa.ListArray.from_arrays(ends, links),
+                "width": np.full(len(here), width), "recall": np.full(len(here), recall),
+            }
+
+    return arrow_stage(members, GRAPH.format(v=members.schema["v"].dataType.simpleString()), build, whole=True)
+
+
 def search_shards(rows: DataFrame, threshold: float) -> DataFrame:
-    """`a, links` for queries and `a, b` for edges, from rows `shard, ask, rep, copies, v`: in a
-    partition the members of a shard come first, then the queries."""
+    """`a, links` for queries and `a, b` for edges, from rows `tile, node, rep, copies, v, links, width`: in a
+    partition the nodes of a tile's graph come first, in their order, then its queries, which have no node."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        shard, members, graph = None, [], None
+        tile, nodes, graph = None, [], None
         for batch in batches:
-            names, ask, rep, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "ask", "rep", "copies"))
-            v = batch.column("v")
-            flat, cut = v.values.to_numpy(zero_copy_only=False).astype(np.float64), v.offsets.to_numpy()
+            names, rep, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "rep", "copies"))
+            ask = batch.column("node").is_null().to_numpy(zero_copy_only=False)
+            width = batch.column("width").fill_null(0).to_numpy(zero_copy_only=False)
+            (flat, cut), (links, ends) = lists(batch.column("v")), lists(batch.column("links"))
             change = np.flatnonzero((names[1:] != names[:-1]) | (ask[1:] != ask[:-1])) + 1
             for lo, hi in zip([0, *change], [*change, len(names)], strict=True):
-                if names[lo] != shard:
-                    shard, members, graph = names[lo], [], None
-                x = flat[cut[lo] : cut[hi]].reshape(hi - lo, -1)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                if names[lo] != tile:
+                    tile, nodes, graph = names[lo], [], None
+                x = unit(flat[cut[lo] : cut[hi]], hi - lo)
                 if not ask[lo]:
-                    members.append((x, rep[lo:hi], copies[lo:hi]))
+                    beam = int(width[lo])
+                    own = links[ends[lo] : ends[hi]].copy()
+                    nodes.append((x, rep[lo:hi].copy(), copies[lo:hi].copy(), own, np.diff(ends[lo : hi + 1])))
                     continue
                 if graph is None:
-                    if not members:
+                    if not nodes:
                         continue
-                    x_all, rep_all, copies_all = (np.concatenate(p) for p in zip(*members, strict=True))
-                    graph = Graph(x_all)
-                    width, _ = audited_beam(graph, threshold)
-                    members = []
-                yield from answer(graph, width, x, rep[lo:hi], x_all[graph.order], rep_all[graph.order], copies_all[graph.order])
+                    x_all, rep_all, copies_all, links_all, sizes = (np.concatenate(p) for p in zip(*nodes, strict=True))
+                    graph, nodes = Graph.of_links(x_all, links_all, np.cumsum(sizes, dtype=np.int64)), []
+                yield from answer(graph, beam, x, rep[lo:hi], x_all, rep_all, copies_all)
 
     def answer(graph, width, q, q_rep, x, rep, copies) -> Iterator[dict]:
         links, edges = np.zeros(len(q), np.int64), np.zeros((0, 2), np.int64)
@@ -332,13 +432,27 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     count = nodes.count()
     shards = max(SHARDS, -(-count // SHARD))
     # only vectors of one length meet in a graph
-    shard = F.pmod(F.xxhash64("v"), F.lit(shards)) + F.lit(shards) * F.size("v")
-    members = nodes.select(shard.alias("shard"), F.lit(False).alias("ask"), "rep", "copies", "v")
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s")
-    queries = nodes.select("rep", "copies", "v", every)
-    queries = queries.select((F.col("s") + F.lit(shards) * F.size("v")).alias("shard"), F.lit(True).alias("ask"), "rep", "copies", "v")
-    dealt = members.unionByName(queries).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "ask", "rep")
-    found = materialize(search_shards(dealt, threshold), "links")
+    shard = (F.pmod(F.xxhash64("v"), F.lit(shards)) + F.lit(shards) * F.size("v")).cast("int")
+    members = nodes.select(shard.alias("shard"), "rep", "copies", "v")
+    dealt = members.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "rep")
+    built = materialize(graphs(dealt, threshold), "graphs")
+    audits = built.agg(F.min("recall").alias("recall"), F.max("width").alias("width")).first()
+    LOG.info("recall of the audits: %s at least, with beams of %s at most", audits.recall, audits.width)
+    # a tile is a shard and a block of queries
+    blocks = -(-count // ASKED) or 1
+    tile = F.col("shard").cast("long") * F.lit(blocks) + F.col("block")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    graph = built.select("shard", every, "node", "rep", "copies", "v", "links", "width")
+    queries = nodes.select("rep", "copies", "v", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"))
+    queries = queries.select(
+        (F.col("s") + F.lit(shards) * F.size("v")).alias("shard"),
+        F.pmod(F.xxhash64("rep"), F.lit(blocks)).alias("block"),
+        "rep", "copies", "v",
+    )
+    met = graph.unionByName(queries, allowMissingColumns=True).withColumn("tile", tile)
+    met = met.select("tile", "node", "rep", "copies", "v", "links", "width")
+    met = met.repartitionByRange(min(shards * blocks, TASKS), "tile").sortWithinPartitions("tile", F.col("node").asc_nulls_last(), "rep")
+    found = materialize(search_shards(met, threshold), "links")
     links = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     lowest = nodes.select("rep", "low").join(roots, "rep").groupBy("root").agg(F.min("low").alias("least"))
