@@ -100,6 +100,7 @@ def test_parse_date(apply):
         "05/03/2024": d(2024, 3, 5), "5-3-2024": d(2024, 3, 5), "5.3.2024": d(2024, 3, 5), "5/3/24": d(2024, 3, 5),
         "5/3/70": d(1970, 3, 5), "05/03/2024 7:08": d(2024, 3, 5, 7, 8), "05/03/2024 07:08:09": d(2024, 3, 5, 7, 8, 9),
         "31/02/2024": None, "foo": None, "": None, " 05/03/2024 ": d(2024, 3, 5), "2024-02-30": None, "13/13/2024": None,
+        "+2024-01-05 3": None, "+2024-1-5 ": None, "2024-01-05 7:08": d(2024, 1, 5, 7, 8), "2024-01-05  7:08": None,
         "2024": None, "5/3-2024": None, "5/3/024": None, "2024-03-05Z": None, None: None,
         "20240105": d(2024, 1, 5), "05-Jan-2024": d(2024, 1, 5), "5 sept 2024": d(2024, 9, 5), "05-Foo-2024": None,
         "2024/01/05": d(2024, 1, 5), "2024-1-5": d(2024, 1, 5), "2024.1.5 7:08": d(2024, 1, 5, 7, 8), "20241305": None,
