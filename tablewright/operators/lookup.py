@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import match_key
+from ..session import materialize
 from .joins import Limits, attach, row_bytes
 
 EXAMPLES = 10  # how many offending values an error message shows
@@ -176,16 +177,21 @@ def unmatched_values(keyed: DataFrame, lookup: Lookup) -> DataFrame:
     )
 
 
-def _fail_if_unmatched(keyed: DataFrame, applied: Sequence[Lookup], what: str) -> None:
+def _all_matched(keyed: DataFrame, applied: Sequence[Lookup], what: str) -> DataFrame:
+    """The frame, written once with all its values counted on the way; fails if any found no id."""
     if not applied:
-        return
-    by_column = {lk.column: lk for lk in applied}
-    for row in lookup_report(keyed, applied).where("unmatched > 0").collect():
-        lk = by_column[row["column"]]
-        shown = [r["value"] for r in unmatched_values(keyed, lk).orderBy("value").limit(EXAMPLES).collect()]
-        raise ConformError(
-            f"{what}{row['unmatched']} values of {lk.column!r} are not in {row['lookup']}, e.g. {shown}"
-        )
+        return keyed
+    seen = Observation()
+    counts = [F.count_if(unmatched(lk)).alias(f"u{i}") for i, lk in enumerate(applied)]
+    written = materialize(keyed.observe(seen, *counts), "keyed")
+    found = seen.get
+    for i, lk in enumerate(applied):
+        if found.get(f"u{i}"):
+            shown = [r["value"] for r in unmatched_values(written, lk).orderBy("value").limit(EXAMPLES).collect()]
+            raise ConformError(
+                f"{what}{found[f'u{i}']} values of {lk.column!r} are not in {lk.table}.{lk.label}, e.g. {shown}"
+            )
+    return written
 
 
 def to_ids(
@@ -195,11 +201,14 @@ def to_ids(
     strict: bool = False,
     what: str = "",
 ) -> DataFrame:
-    """Replace label columns by id columns; strict fails on ambiguous and on unmatched values."""
+    """Replace label columns by id columns; strict fails on ambiguous and on unmatched values.
+
+    Strict writes the frame once and counts during that write, so that no later step looks the labels up again.
+    """
     dimensions = tables if isinstance(tables, Dimensions) else Dimensions(tables)
     keyed, applied = with_keys(df, lookups, dimensions, strict)
     if strict:
-        _fail_if_unmatched(keyed, applied, what)
+        keyed = _all_matched(keyed, applied, what)
     return keyed.drop(*[f"__key_{lk.column}" for lk in applied], *[lk.column for lk in applied])
 
 
