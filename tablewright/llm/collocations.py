@@ -51,6 +51,8 @@ BLOCK = 400_000  # words of one shard
 CONDENSE = 500_000  # arcs of one part that wait for their union
 FILTERED = 1 << 22
 PART_WORDS = 1 << 21  # words of the corpus for one part of the automata
+# rows hold whole subtrees, so batches on their way to Python are bounded by bytes; a batch never cuts a row
+BATCHED = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 UNKNOWN = "und"
 
 _MARKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -436,7 +438,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     )
     for salt in range(256):
-        counts = materialize(word_counts(rows, salt), "words")
+        counts = materialize(word_counts(rows, salt), "words", conf=BATCHED)
         if counts.groupBy("label").count().where("count > 1").isEmpty():
             break
     words = counts.where(F.col("word").isNotNull() & (F.col("n") >= LEAST))
@@ -453,9 +455,9 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
         pairs, "h long",
         lambda b: iter([{"h": W.signed(pair_hash(*(b.column(i).flatten().to_numpy(zero_copy_only=False).view(np.uint64) for i in (1, 2))))}]),
     )
-    common = shared(listed(materialize(hashed, "pairs"), F.col("h")))
-    automata = materialize(united(shards(rows, salt, frequent, common, LONGEST, parts), LONGEST, parts), "automata")
-    return report(scored(materialize(phrases(automata), "phrases"), automata, words, parts), totals)
+    common = shared(listed(materialize(hashed, "pairs", conf=BATCHED), F.col("h")))
+    automata = materialize(united(shards(rows, salt, frequent, common, LONGEST, parts), LONGEST, parts), "automata", conf=BATCHED)
+    return report(scored(materialize(phrases(automata), "phrases", conf=BATCHED), automata, words, parts), totals)
 
 
 def scored(found: DataFrame, automata: DataFrame, words: DataFrame, parts: int) -> DataFrame:
@@ -502,7 +504,7 @@ def scored(found: DataFrame, automata: DataFrame, words: DataFrame, parts: int)
 
 def report(found: DataFrame, totals: DataFrame) -> DataFrame:
     """Without phrases that live in longer ones, the best of each language, ranked."""
-    found = materialize(found, "scored")
+    found = materialize(found, "scored", conf=BATCHED)
     n = F.size("key")
     pieces = [
         F.when((n > size) & (n - size >= at - 1), F.slice("key", at, size)) for size in (2, 3) for at in range(1, LONGEST - size + 2)

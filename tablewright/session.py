@@ -7,6 +7,8 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,8 @@ DEFAULTS = {
     # 8,000 bytes: such a stage runs faster as separate, split projections.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+# For writes of such projections in sessions that this package did not make.
+COMPILED = {"spark.sql.codegen.hugeMethodLimit": DEFAULTS["spark.sql.codegen.hugeMethodLimit"]}
 
 
 def session(
@@ -92,20 +96,32 @@ def remove_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(
+    df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = (), conf: Mapping[str, str] | None = None
+) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Used where a result must not be computed twice (ids that depend on partition numbers, a frame
     that several later jobs read).  Unlike cached blocks the files survive the loss of an executor,
-    and unlike a checkpoint they keep column pruning, pushdown and size statistics.
+    and unlike a checkpoint they keep column pruning, pushdown and size statistics.  `conf` holds settings
+    for this write alone.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     # what the write shuffled is not read again: let Spark remove it now, not at some garbage collection
-    tidy = spark.conf.get(_TIDY, "false")
-    spark.conf.set(_TIDY, "true")
-    try:
+    with set_for(spark, {_TIDY: "true", **(conf or {})}):
         df.write.partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set(_TIDY, tidy)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def set_for(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the jobs inside; the caller's values come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -12,7 +12,8 @@ import public_tokenizers
 import pytest
 
 from tablewright.llm import collocations, dialogues, sentencepieces, words
-from tablewright.session import ship
+from tablewright.llm.frames import arrow_stage
+from tablewright.session import materialize, ship
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -306,6 +307,27 @@ def test_collocations_however_they_are_dealt(spark, phrases, monkeypatch, name,
     assert collocated(spark, rows) == want
 
 
+def test_collocations_send_bounded_batches(spark, phrases, monkeypatch):
+    """Rows with whole subtrees reach Python in batches bounded by bytes, and the session keeps its own settings."""
+    (key, limit), = collocations.BATCHED.items()
+    before = spark.conf.get(key, None)
+    wide = spark.range(64, numPartitions=1).selectExpr("array_repeat(id, 131072) AS v")  # 1 MB a row
+    stage = arrow_stage(wide, "n long, b long", lambda batch: iter([{"n": [len(batch)], "b": [batch.nbytes]}]))
+    sizes = materialize(stage, "sizes", conf=collocations.BATCHED).collect()
+    assert sum(r["n"] for r in sizes) == 64 and max(r["b"] for r in sizes) <= int(limit) + (2 << 20)
+    seen, real = {}, collocations.materialize
+
+    def watched(df, label, **given):
+        seen[label] = given.get("conf")
+        return real(df, label, **given)
+
+    monkeypatch.setattr(collocations, "materialize", watched)
+    rows, want = phrases
+    assert collocated(spark, rows) == want
+    assert all(seen[label] == collocations.BATCHED for label in ("words", "pairs", "automata", "phrases", "scored"))
+    assert spark.conf.get(key, None) == before
+
+
 def test_collocations_when_labels_collide(spark, phrases, monkeypatch):
     rows, want = phrases
     real = collocations.word_counts
