@@ -155,3 +155,16 @@ def test_frame_forms(spark, text_frame):
     assert tuple(text.placeholders_all(padded, ["a", "absent"], words=["x"]).first()) == (None, " y ")
     assert tuple(text.unicode_fold_all(text_frame("a b", [("“", "”")]), ["a", "zz"]).first()) == ('"', "”")
     assert tuple(text.null_words_all(text_frame("a b", [("NA", "ok")])).first()) == (None, "ok")
+
+
+def test_usual_values_take_the_short_way(spark, apply):
+    """What the tests for plain values let through is what the whole chains would have given."""
+    cases = {"1,250": 1.25, "-3": -3.0, "+7,5": 7.5, "1.005,50": 1005.5, "1,": 1.0, ",5": 0.5, "1 000": 1000.0, "50%": 0.5, "x": None, None: None}
+    assert apply(parse.parse_float, list(cases)) == list(cases.values())
+    assert apply(lambda c: parse.parse_int(c, strict=True), ["007", "-0", "1.000,0", "12 kg", "9" * 20, "", None]) == [7, 0, 1000, 12, None, None, None]
+    values = ["N/A", "na.", "NULL", " nan ", "a  b", "a\tb", "a\u00a0", "\u0130", "nulls", "a b", "~", "", " ", None]
+    assert apply(text.clean_input, values) == [None, "na.", None, "nan", "a b", "a b", "a", "\u0130", "nulls", "a b", "~", None, None, None]
+    # plain values alone never meet the expressions for the rest: strict integers cost one test
+    df = spark.createDataFrame([("1",)], "v string")
+    plan = df.select(parse.parse_int(df["v"], strict=True))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index(parse._PLAIN_INT) < plan.index("raise_error")
