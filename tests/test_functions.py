@@ -168,3 +168,20 @@ def test_usual_values_take_the_short_way(spark, apply):
     df = spark.createDataFrame([("1",)], "v string")
     plan = df.select(parse.parse_int(df["v"], strict=True))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index(parse._PLAIN_INT) < plan.index("raise_error")
+
+
+def test_short_ways_of_plain_columns(spark, apply):
+    """What a plain column may take instead of the whole chain gives the same, and none of it is interpreted."""
+    dates = ["05/01/2024", "12/25/2024", "25/12/2024", "31/02/2024", "00/01/2024", "05/01/2024\n", " 05/01/2024", "5/1/2024", "05-01-2024",
+             "2024-01-05", "2024-01-05T10:11:12", "2024-13-05", "05/01/24", "20240105", "05-Jan-2024", "", "x", None]
+    for dayfirst in (True, False):
+        whole = apply(lambda c: parse.parse_date(c, dayfirst), dates)
+        assert apply(lambda c: parse.parse_date(c, dayfirst, plain=True), dates) == whole
+    numbers = ["1", "007", "-3", "1,5", "1.5", "1.005,50", "12 kg", "50%", "1 000", "9" * 20, "+7", "", "x", None]
+    for fn in (parse.parse_int, parse.parse_float):
+        assert apply(lambda c: fn(c, plain=True), numbers) == apply(fn, numbers)
+    padded = [" a b ", "  a", "a  b", "a  ", " nan", "nan ", "nan", "N/a", "n/a b", "\ta", "a\n", "é", "~", " ", "", None]
+    assert apply(text.clean_input, padded) == apply(lambda c: text.clean(text.null_words(c)), padded)
+    df = spark.createDataFrame([(" a", "1,5")], "v string, n string")
+    plan = df.select(parse.parse_float(F.col("n"), plain=True), text.clean_input(F.col("v")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.index("RLIKE" if "RLIKE" in plan else "rlike") < plan.index("translate(")
